@@ -30,7 +30,9 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return int(str(size)) <= limit
 
 
-def attach(df: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+def attach(
+    df: DataFrame, side: DataFrame, on: list[str], how: str = "left", small_bytes: int | None = None
+) -> DataFrame:
     """Join a derived, usually small, side onto a large frame; keys compare
     null-safe.
 
@@ -38,7 +40,7 @@ def attach(df: DataFrame, side: DataFrame, on: list[str], how: str = "left") ->
     BROADCAST_ROWS, so the large frame is not shuffled. A larger side goes
     through an ordinary join, where adaptive execution splits skewed keys.
     """
-    if not is_small(df):
+    if not is_small(df, small_bytes):
         side = stage(side, "side")
         if side.count() <= BROADCAST_ROWS:
             side = F.broadcast(side)

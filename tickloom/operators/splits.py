@@ -53,7 +53,8 @@ def stratified_split(
     A few labels hold all rows, so ranking within a label does not spread.
     Instead the cut is found by selection: rows are counted per label and hash
     prefix, only the bucket that contains the cut is ranked, and the hash at
-    the cut is compared against every row without shuffling them.
+    the cut is compared against every row without shuffling them. The input is
+    read three times, twice for label and key only: stage it if it is costly.
     """
     hashed = df.withColumn("_hash", hash_text(*[F.col(c) for c in key], seed))
     if is_small(df, small_bytes):
@@ -73,13 +74,12 @@ def stratified_split(
     cut_bucket = placed.filter((F.col("through") - F.col("n") < F.col("wanted")) & (F.col("wanted") <= F.col("through")))
     cut_bucket = cut_bucket.select("_label", "_bucket", (F.col("wanted") - F.col("through") + F.col("n")).alias("nth"))
     # The cut lists one row per label.
-    candidates = attach(
-        hashed.select(F.col(label).alias("_label"), prefix.alias("_bucket"), "_hash"), cut_bucket, ["_label", "_bucket"], "inner"
-    )
+    bucketed = hashed.select(F.col(label).alias("_label"), prefix.alias("_bucket"), "_hash")
+    candidates = attach(bucketed, cut_bucket, ["_label", "_bucket"], "inner", small_bytes)
     rank = F.row_number().over(Window.partitionBy("_label", "_bucket").orderBy("_hash"))
     cut = candidates.withColumn("_rank", rank).filter(F.col("_rank") == F.col("nth"))
     cut = cut.select(F.col("_label").alias(label), F.col("_hash").alias("_cut"))
-    marked = attach(hashed, cut, [label])
+    marked = attach(hashed, cut, [label], small_bytes=small_bytes)
     in_train = F.col("_hash") <= F.col("_cut")
     return marked.withColumn("split", F.when(in_train, F.lit("train")).otherwise(F.lit("test"))).drop("_hash", "_cut")
 

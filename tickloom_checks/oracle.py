@@ -16,7 +16,8 @@ def over(n: int) -> str:
 
 
 def r4(*names: str) -> str:
-    return ", ".join(f"round({n}, 4) AS {n}" for n in names)
+    """Rounded columns; adding zero turns DuckDB's -0.0 into 0.0, the only zero that Spark's round gives."""
+    return ", ".join(f"round({n}, 4) + 0.0::DOUBLE AS {n}" for n in names)
 
 
 CHANGES_SQL = f"""lagged AS (
