@@ -90,7 +90,7 @@ def standardise(
     """Adds the z-score `{column}_z` of columns within groups, and with
     `keep_moments` also `_mean_{column}` and `_std_{column}`.
 
-    Mean and deviation come from the rows matching `fit_on` (all by default;
+    A column that is constant in a group scores 0. Mean and deviation come from the rows matching `fit_on` (all by default;
     fit on the training rows to avoid a leak). They are aggregated with
     partial sums and joined back, so no group is gathered in one task.
     """
@@ -100,6 +100,11 @@ def standardise(
         *[F.avg(c).alias(f"_mean_{c}") for c in columns], *[spread(c).alias(f"_std_{c}") for c in columns]
     )
     out = attach(df, moments, by)
-    scores = {f"{c}_z": F.try_divide(F.col(c) - F.col(f"_mean_{c}"), F.col(f"_std_{c}")) for c in columns}
+    scores = {
+        f"{c}_z": F.when(F.col(f"_std_{c}") == 0, F.lit(0.0)).otherwise(
+            F.try_divide(F.col(c) - F.col(f"_mean_{c}"), F.col(f"_std_{c}"))
+        )
+        for c in columns
+    }
     helpers = [] if keep_moments else [f"_{m}_{c}" for m in ("mean", "std") for c in columns]
     return out.withColumns(scores).drop(*helpers)

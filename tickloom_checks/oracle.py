@@ -270,8 +270,10 @@ WHERE e.ticker NOT IN (SELECT ticker FROM bars)""",
         "zscore": with_(
             *FEATURES,
             select="""SELECT ticker, date,
-  round((close - avg(close) OVER (PARTITION BY ticker)) / nullif(stddev_samp(close) OVER (PARTITION BY ticker), 0), 4) AS close_z,
-  round((rsi - avg(rsi) OVER (PARTITION BY ticker)) / nullif(stddev_samp(rsi) OVER (PARTITION BY ticker), 0), 4) AS rsi_z
+  round(CASE WHEN stddev_samp(close) OVER (PARTITION BY ticker) = 0 THEN 0
+    ELSE (close - avg(close) OVER (PARTITION BY ticker)) / stddev_samp(close) OVER (PARTITION BY ticker) END, 4) + 0.0::DOUBLE AS close_z,
+  round(CASE WHEN stddev_samp(rsi) OVER (PARTITION BY ticker) = 0 THEN 0
+    ELSE (rsi - avg(rsi) OVER (PARTITION BY ticker)) / stddev_samp(rsi) OVER (PARTITION BY ticker) END, 4) + 0.0::DOUBLE AS rsi_z
 FROM features""",
         ),
         "regression_metrics": "WITH " + ",\n".join(BARS) + ",\n" + METRICS_SELECT,
