@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
-from tickloom.operators.sizing import BROADCAST_ROWS, is_small
+from tickloom.operators.sizing import broadcast_if_small, is_small
 from tickloom.schema import SERIES, TIME
 from tickloom.session import stage
 
@@ -104,10 +104,10 @@ def _slot_of(df: DataFrame, time: str, width: int) -> Column:
 
 
 def _join_small(df: DataFrame, side: DataFrame, on: dict[str, str], how: str) -> DataFrame:
-    """Join a staged side, broadcast if its row count allows. Keys compare
+    """Join a staged side, broadcast if its size allows. Keys compare
     null-safe: rows without a series form a series too."""
     same = [F.col(left).eqNullSafe(F.col(right)) for left, right in on.items()]
-    joined = df.join(F.broadcast(side) if side.count() <= BROADCAST_ROWS else side, same, how)
+    joined = df.join(broadcast_if_small(side), same, how)
     return joined.drop(*on.values())
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.session import stage
 
-# A broadcast side may hold this many rows; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
+# A broadcast side may take this much memory; beyond it the join shuffles.
+BROADCAST_BYTES = 128 << 20
 
 
 def split_bytes(df: DataFrame) -> int:
@@ -30,20 +31,34 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return int(str(size)) <= limit
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over at least as many tasks as there are cores, for work that costs
+    far more than reading its input. A table with more splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def broadcast_if_small(side: DataFrame) -> DataFrame:
+    """Marks a staged side for broadcast if its size in memory, bounded by its
+    row count and its longest strings, allows it."""
+    strings = [f.name for f in side.schema if isinstance(f.dataType, T.StringType)]
+    rows, *longest = side.agg(F.count(F.lit(1)), *[F.max(F.octet_length(c)) for c in strings]).first()
+    row_bytes = 32 + 16 * len(side.columns) + sum(n or 0 for n in longest)
+    return F.broadcast(side) if rows * row_bytes <= BROADCAST_BYTES else side
+
+
 def attach(
     df: DataFrame, side: DataFrame, on: list[str], how: str = "left", small_bytes: int | None = None
 ) -> DataFrame:
     """Join a derived, usually small, side onto a large frame; keys compare
     null-safe.
 
-    The side is staged and counted first; it is broadcast only within
-    BROADCAST_ROWS, so the large frame is not shuffled. A larger side goes
-    through an ordinary join, where adaptive execution splits skewed keys.
+    The side is staged and measured first. If it may be broadcast, the large
+    frame is not shuffled; otherwise the join is an ordinary one, where
+    adaptive execution splits skewed keys.
     """
     if not is_small(df, small_bytes):
-        side = stage(side, "side")
-        if side.count() <= BROADCAST_ROWS:
-            side = F.broadcast(side)
+        side = broadcast_if_small(stage(side, "side"))
     keys = {c: f"_on_{c}" for c in on}
     side = side.withColumnsRenamed(keys)
     same = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]

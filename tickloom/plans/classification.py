@@ -13,8 +13,16 @@ from tickloom.operators.features import classifier_features
 from tickloom.operators.labels import add_labels
 from tickloom.operators.latest import value_counts
 from tickloom.operators.metrics import accuracy, classification_report
-from tickloom.operators.models import FOREST_TREES, grade_board, grade_classifier, predict_grades, save_model
+from tickloom.operators.models import (
+    FOREST_DEPTH,
+    FOREST_TREES,
+    grade_board,
+    grade_classifier,
+    predict_grades,
+    save_model,
+)
 from tickloom.operators.segments import SegmentLimits
+from tickloom.operators.sizing import spread
 from tickloom.operators.splits import stratified_split
 from tickloom.session import stage
 
@@ -33,11 +41,12 @@ def labelled_rows(serving: DataFrame, limits: SegmentLimits | None = None) -> Da
     return add_labels(classifier_features(serving, limits=limits))
 
 
-def train_classifier(labelled: DataFrame, trees: int = FOREST_TREES, max_depth: int = 12) -> tuple[PipelineModel, DataFrame]:
+def train_classifier(labelled: DataFrame, trees: int = FOREST_TREES, max_depth: int = FOREST_DEPTH) -> tuple[PipelineModel, DataFrame]:
     """Fits on a stratified 80 % of the rows; returns the model and the
-    predictions for the rest, with their true `label`."""
-    split = stratified_split(labelled, "label", ["ticker", "date"])
-    model = grade_classifier(trees, max_depth).fit(split.filter(F.col("split") == "train"))
+    predictions for the rest, with their true `label`. The split is staged, as
+    fitting reads the rows several times."""
+    split = stage(stratified_split(labelled, "label", ["ticker", "date"]), "split")
+    model = grade_classifier(trees, max_depth).fit(spread(split.filter(F.col("split") == "train")))
     test = split.filter(F.col("split") == "test").withColumn("true_label", F.col("label"))
     return model, predict_grades(model, test).withColumnRenamed("true_label", "label")
 
@@ -48,7 +57,7 @@ def run_classification(
     model_path: str | None = None,
     limits: SegmentLimits | None = None,
     trees: int = FOREST_TREES,
-    max_depth: int = 12,
+    max_depth: int = FOREST_DEPTH,
 ) -> Classification:
     """Labels, split, fit, report, save and grade board over the table."""
     labelled = stage(labelled_rows(spark.table(table), limits), "labelled")

@@ -218,6 +218,16 @@ def oracle_sql() -> dict[str, str]:
         "feature_table_suppliers": suppliers,
         "lag_features": lags,
         "lag_features_segmented": lags,
+        "scaled_lags": with_(
+            *LAGS,
+            select="SELECT ticker, date, "
+            + ", ".join(
+                f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 4) + 0.0::DOUBLE AS {c}"
+                for c in (f"{n.lower()}_lag_1" for n in schema.LAG_COLUMNS)
+            )
+            + " FROM lags WHERE target IS NOT NULL AND close_lag_30 IS NOT NULL",
+        ),
+        "feature_matrix": with_(*LABELLED, select=f"SELECT label, {r4(*schema.CLASSIFIER_FEATURES)} FROM labelled"),
         "total_return": with_(*ENGINEERED, select=f"SELECT ticker, date, {r4('total_return')} FROM engineered"),
         "percent_change": with_(
             *ENGINEERED, select=f"SELECT ticker, date, {r4('return_7d', 'return_30d')} FROM engineered"

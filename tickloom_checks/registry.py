@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +61,22 @@ def lag_matrix(spark: SparkSession, sf: str, limits: SegmentLimits | None = None
     return rounded(feats.lag_features(bars(spark, sf), limits=limits))
 
 
+def scaled_lags(spark: SparkSession, sf: str) -> DataFrame:
+    """Lag vectors, scaled by all rows, back as columns: one per bar column."""
+    vectors = models.assemble_lags(feats.lag_features(bars(spark, sf)))
+    scaled = models.vector_scaler().fit(vectors).transform(vectors)
+    values = vector_to_array("features")
+    first = range(0, len(schema.LAG_COLUMNS) * schema.LAG_DEPTH, schema.LAG_DEPTH)
+    names = [f"{c.lower()}_lag_1" for c in schema.LAG_COLUMNS]
+    return rounded(scaled.select("ticker", "date", *[values[i].alias(n) for i, n in zip(first, names)]))
+
+
+def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    values = vector_to_array("features_raw")
+    matrix = models.feature_matrix(labelled(spark, sf))
+    return rounded(matrix.select("label", *[values[i].alias(c) for i, c in enumerate(schema.CLASSIFIER_FEATURES)]))
+
+
 def persistence(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("ticker").orderBy("date")
     return bars(spark, sf).withColumn("target", F.lead("close").over(w)).withColumn("prediction", F.col("close"))
@@ -158,6 +175,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feature_table_suppliers": lambda s, d: rounded(feature_table(supplier_bars(s, d))),
         "lag_features": lag_matrix,
         "lag_features_segmented": lambda s, d: lag_matrix(s, d, CUT),
+        "scaled_lags": scaled_lags,
+        "feature_matrix": feature_matrix,
         "total_return": lambda s, d: rounded(feats.total_return(features(s, d)), "ticker", "date", "total_return"),
         "percent_change": lambda s, d: rounded(
             feats.percent_change(features(s, d)), "ticker", "date", "return_7d", "return_30d"
