@@ -7,7 +7,7 @@ from tickloom import schema
 from tickloom.functions.noise import normal, uniform
 from tickloom.operators import metrics, models, quality, splits
 from tickloom.operators.forecast import drift_forecast, forecast_table
-from tickloom.operators.shape import lower_names
+from tickloom.operators.shape import serving_shape
 from tickloom.plans import classification, forecasting
 from tickloom.plans.preprocessing import feature_table
 
@@ -129,8 +129,7 @@ def test_forecasting_job(spark, features, tmp_path):
 
 
 def test_classification_job(spark, features, tmp_path):
-    lower_names(features).withColumn("date", F.col("date").cast("string")).createOrReplaceTempView("stock_view")
-    done = classification.run_classification(spark, "stock_view", str(tmp_path / "model"), trees=10, max_depth=6)
+    done = classification.run_classification(serving_shape(features), str(tmp_path / "model"), trees=10, max_depth=6)
     counts = {r["label"]: r["n"] for r in done.grade_counts.collect()}
     assert sum(counts.values()) == features.count() and set(counts) == set(schema.GRADES)
     assert 0.5 < done.accuracy.first()[0] <= 1

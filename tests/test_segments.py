@@ -62,6 +62,12 @@ def test_classifier_features(uneven):
     assert rows_of(features.classifier_features(table, limits=cut(70))) == want
 
 
+def test_iso_date_strings(uneven):
+    text = uneven.withColumn("date", F.col("date").cast("string"))
+    want = rows_of(indicators.moving_averages(text, limits=WHOLE))
+    assert rows_of(indicators.moving_averages(text, limits=cut(100))) == want
+
+
 def test_positions_and_split(uneven):
     want = rows_of(splits.chronological_split(uneven, limits=WHOLE))
     assert rows_of(splits.chronological_split(uneven, limits=cut(64))) == want

@@ -5,6 +5,8 @@ from conftest import column
 
 from tickloom import schema
 from tickloom.operators import latest, quality, shape
+from tickloom.operators.segments import SegmentLimits
+from tickloom.plans.collection import run_collection
 from tickloom.plans.database import run_database_setup
 from tickloom.plans.preprocessing import feature_table, run_preprocessing
 from tickloom.sources import readers, tables, writers
@@ -76,6 +78,26 @@ def test_latest_rows_and_mean(bars):
     assert means == {"A": 7.5, "B": 5.0}
 
 
+def test_many_latest_rows_of_a_long_series(spark, bars):
+    df = bars(A=range(300), B=range(5))
+    limits = SegmentLimits(max_rows=40, small_bytes=0)
+    threshold = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(threshold)
+    want = sorted(map(repr, latest.latest_rows(df, 120).collect()))
+    try:
+        spark.conf.set(threshold, "100")
+        got = sorted(map(repr, latest.latest_rows(df, 120, limits=limits).select(*df.columns).collect()))
+    finally:
+        spark.conf.set(threshold, before)
+    assert got == want and len(got) == 125
+
+
+def test_collection_job(spark, tmp_path):
+    frame = spark.sql("SELECT date'2024-01-02' AS Date, 1D AS Open, 2D AS High, 0.5D AS Low, 1.5D AS Close, 10L AS Volume")
+    report = run_collection(spark, {"X": frame, "Y": frame.unionAll(frame)}, str(tmp_path / "bars")).collect()
+    assert {(r["ticker"], r["n_rows"], r["has_duplicate_dates"]) for r in report} == {("X", 1, False), ("Y", 2, True)}
+
+
 def test_value_counts_fill_zero(bars):
     df = bars(A=[1, 2, 2]).selectExpr("if(close = 2, 'High', 'Low') AS label")
     assert {tuple(r) for r in latest.value_counts(df, "label", schema.GRADES).collect()} == {

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tickloom import schema
+from tickloom.operators.segments import SegmentLimits, lay_out
 
 LATEST_COLUMNS = ("close", "rsi", "ma_7", "ma_30", "daily_return")
 
@@ -24,14 +26,25 @@ def last_rows_of(
     return newest.orderBy(time) if ascending else newest
 
 
-def latest_rows(df: DataFrame, n: int = 1, series: str = schema.SERIES, time: str = schema.TIME) -> DataFrame:
+def latest_rows(
+    df: DataFrame,
+    n: int = 1,
+    series: str = schema.SERIES,
+    time: str = schema.TIME,
+    limits: SegmentLimits | None = None,
+) -> DataFrame:
     """The latest n rows of every series.
 
     Spark limits each group to n rows before the shuffle, so a long series
-    reaches its task as at most n rows from each scan task.
+    reaches its task as at most n rows from each scan task. It does so up to a
+    configured n; beyond that rows are picked by their position in the series.
     """
-    rank = F.row_number().over(Window.partitionBy(series).orderBy(F.desc(time)))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    if n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        rank = F.row_number().over(Window.partitionBy(series).orderBy(F.desc(time)))
+        return df.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+    layout = lay_out(df, series=series, time=time, limits=limits)
+    out = layout.df.withColumns({"_position": layout.position(), "_length": layout.length()})
+    return layout.finish(out).filter(F.col("_position") > F.col("_length") - n).drop("_position", "_length")
 
 
 def latest_values(
@@ -41,11 +54,14 @@ def latest_values(
 
     All `max_by` buffers see the same rows in the same order, so on equal
     times they pick the same row. One hash aggregate, combined before the
-    shuffle, and no sort of the input.
+    shuffle, and no sort of the input: ISO date strings compare as dates,
+    since aggregates over strings would sort.
     """
+    kind = df.select(time).schema[0].dataType
+    key = F.col(time).cast("date") if isinstance(kind, T.StringType) else F.col(time)
     return (
         df.groupBy(series)
-        .agg(F.max(time).alias(time), *[F.max_by(c, time).alias(c) for c in columns])
+        .agg(F.max(key).cast(kind).alias(time), *[F.max_by(c, key).alias(c) for c in columns])
         .orderBy(series)
     )
 

@@ -31,6 +31,12 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return int(str(size)) <= limit
 
 
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Stages a frame that is not small, before operators that read it more
+    than once; a small one is cheap enough to compute again."""
+    return df if is_small(df) else stage(df, name)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over at least as many tasks as there are cores, for work that costs
     far more than reading its input. A table with more splits stays as it is."""

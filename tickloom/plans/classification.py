@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import schema
@@ -52,15 +52,14 @@ def train_classifier(labelled: DataFrame, trees: int = FOREST_TREES, max_depth:
 
 
 def run_classification(
-    spark: SparkSession,
-    table: str = schema.SERVING_TABLE,
+    serving: DataFrame,
     model_path: str | None = None,
     limits: SegmentLimits | None = None,
     trees: int = FOREST_TREES,
     max_depth: int = FOREST_DEPTH,
 ) -> Classification:
-    """Labels, split, fit, report, save and grade board over the table."""
-    labelled = stage(labelled_rows(spark.table(table), limits), "labelled")
+    """Labels, split, fit, report, save and grade board over the serving table."""
+    labelled = stage(labelled_rows(serving, limits), "labelled")
     model, predicted = train_classifier(labelled, trees, max_depth)
     predicted = stage(predicted.select("label", "predicted_label"), "predicted")
     if model_path:

@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickloom import schema
 from tickloom.operators.indicators import drop_incomplete, indicators
 from tickloom.operators.segments import SegmentLimits
-from tickloom.operators.sizing import is_small
-from tickloom.session import stage
+from tickloom.operators.sizing import settle
 from tickloom.sources.readers import read_bar_files, read_features
 from tickloom.sources.writers import write_features
 
@@ -30,8 +29,7 @@ def run_preprocessing(
 ) -> DataFrame:
     """CSV bars to a Parquet feature table; returns the table read back, so
     looking at it does not compute it again."""
-    bars = read_bar_files(spark, bars_directory)
-    if not is_small(bars):
-        bars = stage(bars, "bars")  # text is parsed once; counting then reads two columns
+    # Large text is parsed once; counting rows then reads one column.
+    bars = settle(read_bar_files(spark, bars_directory), "bars")
     write_features(feature_table(bars, limits=limits), output_path)
     return read_features(spark, output_path)

@@ -16,6 +16,7 @@ from tickloom.operators import indicators as ind
 from tickloom.operators import labels, latest, metrics, models, quality, shape, splits
 from tickloom.operators.forecast import drift_forecast, forecast_table
 from tickloom.operators.segments import SegmentLimits
+from tickloom.operators.sizing import settle
 from tickloom.plans import classification, forecasting, stock_page
 from tickloom.plans.database import PREVIEW_COLUMNS, run_database_setup
 from tickloom.plans.preprocessing import feature_table
@@ -44,7 +45,8 @@ def rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.lower_names(feature_table(bars(spark, sf)))
+    """The feature table, which operators on it may read more than once."""
+    return settle(shape.lower_names(feature_table(settle(bars(spark, sf)))), "features")
 
 
 def engineered(spark: SparkSession, sf: str, limits: SegmentLimits | None = None) -> DataFrame:
@@ -54,7 +56,7 @@ def engineered(spark: SparkSession, sf: str, limits: SegmentLimits | None = None
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return classification.labelled_rows(features(spark, sf))
+    return settle(classification.labelled_rows(features(spark, sf)), "labelled")
 
 
 def lag_matrix(spark: SparkSession, sf: str, limits: SegmentLimits | None = None) -> DataFrame:
@@ -134,7 +136,7 @@ def gbt_forecast_pooled(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bars_as_features(spark: SparkSession, sf: str) -> DataFrame:
-    return feature_table(bars(spark, sf))
+    return settle(feature_table(settle(bars(spark, sf))), "features")
 
 
 def _classified(spark: SparkSession, sf: str) -> tuple:
