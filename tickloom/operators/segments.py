@@ -42,7 +42,7 @@ class SegmentLimits:
     refined until slots are small against a segment.
     """
 
-    max_rows: int = 1_000_000
+    max_rows: int = 500_000
     small_bytes: int | None = None
     slot_days: int = 32
     slot_seconds: int = 1 << 15
