@@ -37,7 +37,7 @@ class SegmentLimits:
     """When and how series are cut.
 
     `max_rows` is the most rows of one series a segment aims at. Inputs below
-    `small_bytes` (default: one scan split) are not counted at all. The first
+    `small_bytes` (default: a quarter of a scan split) are not counted at all. The first
     slot width is in days for dates and in seconds for timestamps; it is
     refined until slots are small against a segment.
     """

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom import schema
+from tickloom.functions.scalar import iso_date
 
 
 def lower_names(df: DataFrame) -> DataFrame:
@@ -37,4 +38,4 @@ def normalise_vendor_frame(df: DataFrame, ticker: str, date: str = "Date") -> Da
 def serving_shape(df: DataFrame) -> DataFrame:
     """Lower-case names and ISO date strings, as in the serving table."""
     lower = lower_names(df)
-    return lower.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+    return lower.withColumn("date", iso_date(F.col("date")))

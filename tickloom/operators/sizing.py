@@ -21,12 +21,13 @@ def split_bytes(df: DataFrame) -> int:
 
 
 def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether Catalyst's size estimate for the frame fits in one scan split.
+    """Whether Catalyst's size estimate for the frame is a quarter of a scan
+    split at most; files may unpack to several times their size.
 
-    Such an input cannot make a task heavier than an ordinary scan task, so the
-    counting passes below are not worth a job. Unknown sizes count as large.
+    Such an input cannot make a task much heavier than a scan task, so the
+    counting passes are not worth a job. Unknown sizes count as large.
     """
-    limit = split_bytes(df) if limit is None else limit
+    limit = split_bytes(df) // 4 if limit is None else limit
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) <= limit
 
