@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import quality_rules, token_counts
+from tickloom.llm import exact_dedup, quality_rules, source_mix, token_counts
 
 LIMIT = 1024
 
@@ -20,6 +20,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), path).withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, name = quality_rules.ledger(documents(spark, sf_dir), ["doc_id"])
     failed = F.col(name)["failed"]
@@ -31,5 +35,14 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, name = source_mix.mix(documents(spark, sf_dir), ["doc_id"])
+    m = F.col(name)
+    middle = (m["place"] + m["size"] / 2) / m["target"]
+    first = F.when(m["copies"] > 0, source_mix.position(F.least(middle, F.lit(1.0)), m["turn"]))
+    return rows.select("doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"), m["target"].alias("target"),
+                       m["taken"].alias("taken"), F.round(first, 6).alias("first_position"))
+
+
 def queries() -> dict:
     return {name: job for name, job in globals().items() if name.startswith("op")}

@@ -33,8 +33,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+EXACT_DEDUP = r"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS points,
+        sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY text_sha256)::BIGINT AS group_size,
+    row_number() OVER best = 1 AS kept, text_sha256
+FROM d WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
+"""
+
+SOURCE_MIX = r"""
+WITH d AS (
+    SELECT doc_id, coalesce('0' || source, '1') AS source, md5(doc_id::VARCHAR) AS ord,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+    FROM documents
+), s AS (
+    SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source) - 1) % 3 AS turn FROM d GROUP BY source
+), w AS (
+    SELECT *, [5, 2, 1][turn + 1] AS weight, 3 * source_size AS most FROM s
+), c AS (
+    SELECT *, sum(source_size) OVER ()::BIGINT AS total,
+        coalesce(sum(most) OVER (ORDER BY most / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS above,
+        sum(weight) OVER (ORDER BY most / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS weights
+    FROM w
+), f AS (SELECT *, weight * (total - above) > most * weights AS capped FROM c
+), t AS (
+    SELECT source, source_size, turn, CASE WHEN capped THEN most::DOUBLE ELSE
+        weight * (total - coalesce(sum(most) FILTER (capped) OVER (), 0)::BIGINT)
+        / (sum(weight) FILTER (NOT capped) OVER ())::BIGINT END AS target
+    FROM f
+), p AS (
+    SELECT doc_id, size, source_size, target, turn,
+        CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+        coalesce(sum(size) OVER (PARTITION BY source ORDER BY ord, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+    FROM d JOIN t USING (source)
+), k AS (
+    SELECT *, CASE WHEN size > 0 THEN least(whole + (place + size / 2 <= target - whole * source_size)::INT, 3) ELSE 0 END AS copies,
+        least((place + size / 2) / target, 1.0) AS done
+    FROM p
+)
+SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken,
+    CASE WHEN copies > 0 THEN round(CASE turn
+        WHEN 0 THEN 2 * done / (1.5 + sqrt(greatest(0, 2.25 - 2 * done)))
+        WHEN 1 THEN done
+        ELSE CASE WHEN done * 1 <= 0.3125 THEN 2 * done / (0.5 + sqrt(greatest(0, 0.25 + done)))
+             ELSE 0.5 + 2 * (done - 0.3125) / (0.75 + sqrt(greatest(0, 0.5625 + 5 * (done - 0.3125)))) END
+        END, 6) END AS first_position
+FROM k
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_exact_dedup": EXACT_DEDUP,
         "op6_quality_rules": QUALITY_RULES,
+        "op8_source_mix": SOURCE_MIX,
     }
