@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact_dedup, quality_rules, source_mix, token_counts
+from tickloom.llm import exact_dedup, quality_rules, source_mix, token_counts, toxicity
 
 LIMIT = 1024
 
@@ -44,5 +44,9 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                        m["taken"].alias("taken"), F.round(first, 6).alias("first_position"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict:
     return {name: job for name, job in globals().items() if name.startswith("op")}
