@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact_dedup, quality_rules, source_mix, token_counts, toxicity
+from tickloom.llm import exact_dedup, ngram_join, quality_rules, source_mix, substring_dedup, token_counts, toxicity
 
 LIMIT = 1024
 
@@ -20,6 +20,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), path).withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.ngram_join(documents(spark, sf_dir), k=3, num=9, den=10)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
