@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact_dedup, ngram_join, quality_rules, source_mix, substring_dedup, token_counts, toxicity
+from tickloom.llm import exact_dedup, ngram_join, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
 
 LIMIT = 1024
 
@@ -20,6 +20,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), path).withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again: the pieces as count and hash, the text as digest,
+    and whether it came back as it was (a null as an empty text)."""
+    pieces = sentencepiece_codec.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    rows, ids = sentencepiece_codec.encode(documents(spark, sf_dir), pieces, ["doc_id", "text"])
+    back, text = sentencepiece_codec.decode(rows, pieces, ["doc_id", "text", ids], ids)
+    return back.select(
+        "doc_id", F.size(ids).cast("long").alias("n_pieces"), F.xxhash64(ids).alias("pieces_hash"),
+        F.sha2(text, 256).alias("decoded_sha256"), (F.col(text) == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.ngram_join(documents(spark, sf_dir), k=3, num=9, den=10)
     return found.select("doc_id", "n_shingles", "component_id")
