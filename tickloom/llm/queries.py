@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact_dedup, ngram_join, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
+from tickloom.llm import exact_dedup, line_dedup, ngram_join, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
 
 LIMIT = 1024
 
@@ -57,6 +57,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(documents(spark, sf_dir))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, name = source_mix.mix(documents(spark, sf_dir), ["doc_id"])
     m = F.col(name)
