@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact_dedup, line_dedup, ngram_join, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
+from tickloom.llm import exact_dedup, line_dedup, ngram_join, pii, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
 
 LIMIT = 1024
 
@@ -70,6 +70,10 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                        m["taken"].alias("taken"), F.round(first, 6).alias("first_position"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.surrogates(documents(spark, sf_dir), key="tickloom")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
