@@ -7,12 +7,13 @@ import argparse
 from tickloom import schema
 from tickloom.operators.models import board_text
 from tickloom.operators.quality import series_quality
+from tickloom.plans.collection import run_collection
 from tickloom.plans.classification import run_classification
 from tickloom.plans.database import run_database_setup
 from tickloom.plans.forecasting import run_forecasting
 from tickloom.plans.preprocessing import run_preprocessing
 from tickloom.session import build_session
-from tickloom.sources.readers import read_bar_files, read_serving
+from tickloom.sources.readers import LAYOUTS, read_bar_files, read_serving
 
 
 def parse(arguments=None) -> argparse.Namespace:
@@ -20,9 +21,13 @@ def parse(arguments=None) -> argparse.Namespace:
     jobs = parser.add_subparsers(dest="job", required=True)
     job = jobs.add_parser("check", help="quality report of CSV bars")
     job.add_argument("bars")
+    job = jobs.add_parser("collect", help="vendor CSV tables to bars in folders, and their quality")
+    job.add_argument("bars", help="where the bars go")
+    job.add_argument("vendor", nargs="+", help="TICKER=path of a CSV table with a header")
     job = jobs.add_parser("preprocess", help="CSV bars to a Parquet feature table")
     job.add_argument("bars")
     job.add_argument("features")
+    job.add_argument("--layout", choices=sorted(LAYOUTS), default="files")
     job = jobs.add_parser("load", help="feature table to the SQL table")
     job.add_argument("features")
     job.add_argument("--table", default=schema.SERVING_TABLE)
@@ -45,7 +50,11 @@ def main(arguments=None) -> None:
     if options.job == "check":
         series_quality(read_bar_files(spark, options.bars)).show(truncate=False)
     elif options.job == "preprocess":
-        run_preprocessing(spark, options.bars, options.features).show(5)
+        run_preprocessing(spark, options.bars, options.features, layout=options.layout).show(5)
+    elif options.job == "collect":
+        paths = dict(pair.split("=", 1) for pair in options.vendor)
+        frames = {ticker: spark.read.csv(path, header=True, inferSchema=True) for ticker, path in paths.items()}
+        run_collection(spark, frames, options.bars).show(truncate=False)
     elif options.job == "load":
         rows, head = run_database_setup(spark, options.features, options.table, options.ticker)
         print(f"{rows} rows in {options.table}")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +16,20 @@ def lag_columns(columns=schema.LAG_COLUMNS, depth: int = schema.LAG_DEPTH) -> li
     return [f"{c}_lag_{k}" for c in columns for k in range(1, depth + 1)]
 
 
+def _lag_lists(df, columns, depth, horizon, close, limits, keys):
+    """The frame with the last `depth` values of each column as lists, newest
+    first, and the target; only rows without a missing value."""
+    layout = lay_out(df, before=depth, after=horizon, limits=limits, **keys)
+    before = layout.ordered.rowsBetween(-depth, -1)
+    lists = {f"_lags_{i}": F.reverse(F.collect_list(c).over(before)) for i, c in enumerate(columns)}
+    out = layout.df.withColumns(lists | {"target": F.lead(close, horizon).over(layout.ordered)})
+    # Lists leave nulls out, so a full list has none.
+    full = [F.size(name) == depth for name in lists]
+    clean = [~F.exists(n, lambda x: F.isnan(x.cast("double"))) for n in lists]
+    out = layout.finish(out).filter(reduce(lambda a, b: a & b, full + clean))
+    return out.na.drop(subset=[*df.columns, "target"]), list(lists)
+
+
 def lag_features(
     df: DataFrame,
     columns=schema.LAG_COLUMNS,
@@ -26,13 +43,28 @@ def lag_features(
     `horizon` rows ahead, for all series in one window pass.
 
     Rows with a missing value in any column are dropped: the first `depth` and
-    the last `horizon` of each series among them.
+    the last `horizon` of each series among them. One list per column is
+    windowed and then taken apart.
     """
-    layout = lay_out(df, before=depth, after=horizon, limits=limits, **keys)
-    w = layout.ordered
-    lags = [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for c in columns for k in range(1, depth + 1)]
-    out = layout.df.select("*", *lags, F.lead(close, horizon).over(w).alias("target"))
-    return layout.finish(out).na.drop()
+    out, lists = _lag_lists(df, columns, depth, horizon, close, limits, keys)
+    lags = [F.get(name, F.lit(k)).alias(f"{c}_lag_{k + 1}") for name, c in zip(lists, columns) for k in range(depth)]
+    return out.select(*df.columns, *lags, "target")
+
+
+def lag_vectors(
+    df: DataFrame,
+    columns=schema.LAG_COLUMNS,
+    depth: int = schema.LAG_DEPTH,
+    horizon: int = 1,
+    close: str = "close",
+    limits: SegmentLimits | None = None,
+    **keys,
+) -> DataFrame:
+    """The lags of `lag_features` as one vector `features_raw`, in the order of
+    its columns, and `target`."""
+    out, lists = _lag_lists(df, columns, depth, horizon, close, limits, keys)
+    values = F.concat(*[F.transform(name, lambda x: x.cast("double")) for name in lists])
+    return out.withColumn("features_raw", array_to_vector(values)).drop(*lists)
 
 
 def total_return(df: DataFrame, close: str = "close", limits: SegmentLimits | None = None, **keys) -> DataFrame:

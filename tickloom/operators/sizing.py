@@ -38,11 +38,14 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     return df if is_small(df) else stage(df, name)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over at least as many tasks as there are cores, for work that costs
-    far more than reading its input. A table with more splits stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def place(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt by a hash of their keys to partitions whose number follows
+    from the row count, and sorted within. Tree training samples by partition,
+    so with this its result does not depend on cores or files; work costs far
+    more than reading, so a few thousand rows make a task."""
+    rows = df.count()
+    tasks = max(min(64, -(-rows // 2_000)), -(-rows // 200_000), 1)
+    return df.repartition(tasks, *keys).sortWithinPartitions(*keys)
 
 
 def broadcast_if_small(side: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from tickloom.functions.noise import hash_text
 from tickloom.operators.segments import SegmentLimits, lay_out
-from tickloom.operators.sizing import attach, is_small
+from tickloom.operators.sizing import attach
 
 _HEX_PREFIX = 5  # about a million buckets per label
 
@@ -44,44 +44,42 @@ def chronological_split(
 
 
 def stratified_split(
-    df: DataFrame, label: str, key: list[str], train: float = 0.8, seed: int = 42, small_bytes: int | None = None
+    df: DataFrame, label: str, key: list[str], train: float = 0.8, seed: int = 42, small_bytes: int | None = None,
+    ties: list[str] | None = None,
 ) -> DataFrame:
     """Adds `split`: exactly floor(0.8 n) rows of every label train, the rest
-    test. Rows are ordered by the MD5 of their key and the seed, so the split
-    repeats exactly; `key` must identify a row.
+    test. Rows are ordered by the MD5 of their key and the seed, and where keys
+    repeat by the columns of `ties` (by default a hash of all columns), so the
+    split repeats exactly at any input size.
 
     A few labels hold all rows, so ranking within a label does not spread.
     Instead the cut is found by selection: rows are counted per label and hash
-    prefix, only the bucket that contains the cut is ranked, and the hash at
-    the cut is compared against every row without shuffling them. The input is
-    read three times, twice for label and key only: stage it if it is costly.
+    prefix, only the bucket that contains the cut is ranked, and other rows are
+    compared by prefix without shuffling them. The input is read several
+    times: stage it if it is costly.
     """
     hashed = df.withColumn("_hash", hash_text(*[F.col(c) for c in key], seed))
-    if is_small(df, small_bytes):
-        by_label = Window.partitionBy(label)
-        rank = F.row_number().over(by_label.orderBy("_hash"))
-        total = F.count(F.lit(1)).over(by_label)
-        in_train = rank <= F.floor(total * F.lit(train))
-        return hashed.withColumn("split", F.when(in_train, F.lit("train")).otherwise(F.lit("test"))).drop("_hash")
-    prefix = F.substring("_hash", 1, _HEX_PREFIX)
-    counts = hashed.groupBy(F.col(label).alias("_label"), prefix.alias("_bucket")).agg(F.count(F.lit(1)).alias("n"))
+    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, _HEX_PREFIX))
+    counts = hashed.groupBy(F.col(label).alias("_label"), "_bucket").agg(F.count(F.lit(1)).alias("n"))
     by_label = Window.partitionBy("_label")
     placed = counts.select(
         "*",
         F.floor(F.sum("n").over(by_label) * F.lit(train)).alias("wanted"),
         F.sum("n").over(by_label.orderBy("_bucket")).alias("through"),
     )
-    cut_bucket = placed.filter((F.col("through") - F.col("n") < F.col("wanted")) & (F.col("wanted") <= F.col("through")))
-    cut_bucket = cut_bucket.select("_label", "_bucket", (F.col("wanted") - F.col("through") + F.col("n")).alias("nth"))
-    # The cut lists one row per label.
-    bucketed = hashed.select(F.col(label).alias("_label"), prefix.alias("_bucket"), "_hash")
-    candidates = attach(bucketed, cut_bucket, ["_label", "_bucket"], "inner", small_bytes)
-    rank = F.row_number().over(Window.partitionBy("_label", "_bucket").orderBy("_hash"))
-    cut = candidates.withColumn("_rank", rank).filter(F.col("_rank") == F.col("nth"))
-    cut = cut.select(F.col("_label").alias(label), F.col("_hash").alias("_cut"))
+    # The cut lists one row per label at most.
+    cut = placed.filter((F.col("through") - F.col("n") < F.col("wanted")) & (F.col("wanted") <= F.col("through")))
+    nth = F.col("wanted") - F.col("through") + F.col("n")
+    cut = cut.select(F.col("_label").alias(label), F.col("_bucket").alias("_cut"), nth.alias("_nth"))
     marked = attach(hashed, cut, [label], small_bytes=small_bytes)
-    in_train = F.col("_hash") <= F.col("_cut")
-    return marked.withColumn("split", F.when(in_train, F.lit("train")).otherwise(F.lit("test"))).drop("_hash", "_cut")
+    at_cut = F.coalesce(F.col("_bucket") == F.col("_cut"), F.lit(False))
+    order = ["_hash", *(ties if ties is not None else [F.xxhash64(*df.columns)])]
+    rank = F.row_number().over(Window.partitionBy(label).orderBy(*order))
+    ranked = marked.filter(at_cut).withColumn("_train", rank <= F.col("_nth"))
+    clear = marked.filter(~at_cut).withColumn("_train", F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False)))
+    out = clear.unionByName(ranked)
+    split = F.when(F.col("_train"), F.lit("train")).otherwise(F.lit("test"))
+    return out.withColumn("split", split).drop("_hash", "_bucket", "_cut", "_nth", "_train")
 
 
 def standardise(

@@ -22,7 +22,7 @@ from tickloom.operators.models import (
     save_model,
 )
 from tickloom.operators.segments import SegmentLimits
-from tickloom.operators.sizing import spread
+from tickloom.operators.sizing import place
 from tickloom.operators.splits import stratified_split
 from tickloom.session import stage
 
@@ -46,7 +46,8 @@ def train_classifier(labelled: DataFrame, trees: int = FOREST_TREES, max_depth:
     predictions for the rest, with their true `label`. The split is staged, as
     fitting reads the rows several times."""
     split = stage(stratified_split(labelled, "label", ["ticker", "date"]), "split")
-    model = grade_classifier(trees, max_depth).fit(spread(split.filter(F.col("split") == "train")))
+    train = split.filter(F.col("split") == "train").na.drop(subset=schema.CLASSIFIER_FEATURES)
+    model = grade_classifier(trees, max_depth).fit(place(train, ["ticker", "date"]))
     test = split.filter(F.col("split") == "test").withColumn("true_label", F.col("label"))
     return model, predict_grades(model, test).withColumnRenamed("true_label", "label")
 

@@ -132,6 +132,30 @@ STRATIFIED_SELECT = """SELECT ticker, date, label,
             <= floor(count(*) OVER (PARTITION BY label) * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split
 FROM labelled"""
 
+DUPLICATE_KEYS_SELECT = """SELECT ticker, date, label,
+  CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(ticker || '|42'), date)
+            <= floor(count(*) OVER (PARTITION BY label) * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split
+FROM labelled"""
+
+# Test rows of a series: complete lag rows lack the first 30 and the last row.
+TEST_ROWS_SELECT = """SELECT ticker, CAST(k - floor(k * 0.8::DOUBLE) - floor(k * 0.1::DOUBLE) AS BIGINT) AS n, true AS ordered, true AS finite
+FROM (SELECT ticker, count(*) - 31 AS k FROM features GROUP BY ticker) WHERE k > 0"""
+
+# The pooled model splits before it makes lags, so only the last row lacks its target.
+POOLED_TEST_ROWS_SELECT = """SELECT ticker, CAST(k - floor(k * 0.8::DOUBLE) - floor(k * 0.1::DOUBLE) AS BIGINT) - 1 AS n, true AS ordered, true AS finite
+FROM (SELECT ticker, count(*) AS k FROM features GROUP BY ticker)"""
+
+SUPPORT_SELECT = """SELECT label AS class, support, true AS sound FROM
+  (SELECT label, CAST(count(*) - floor(count(*) * 0.8::DOUBLE) AS BIGINT) AS support FROM labelled GROUP BY label) WHERE support > 0
+UNION ALL SELECT c, CAST(sum(n - floor(n * 0.8::DOUBLE)) AS BIGINT), true
+FROM (SELECT count(*) AS n FROM labelled GROUP BY label), (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) v(c) GROUP BY c"""
+
+BOARD_SELECT = """SELECT ticker, printf('$%.2f', round(close, 2)) AS price, printf('%.1f', round(rsi, 1)) AS rsi,
+  printf('%.2f', round(sharpe_ratio, 2)) AS sharpe, composite_score, true AS sums_to_100, true AS grade_is_likeliest
+FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM labelled) WHERE rn = 1"""
+
+CONTRACT_SQL = """SELECT count(*) FILTER (WHERE toxic = 1) AS bad_labels, count(*) FILTER (WHERE quality = 0) AS bad_sums FROM labels"""
+
 METRICS_SELECT = """pairs AS (
   SELECT ticker, close AS p, lead(close) OVER (PARTITION BY ticker ORDER BY date) AS y FROM bars),
 known AS (SELECT * FROM pairs WHERE y IS NOT NULL)
@@ -277,6 +301,16 @@ WHERE e.ticker NOT IN (SELECT ticker FROM bars)""",
         ),
         "stratified_split": stratified,
         "stratified_split_selected": stratified,
+        "stratified_split_duplicate_keys": with_(*LABELLED, select=DUPLICATE_KEYS_SELECT),
+        "stratified_split_duplicate_keys_selected": with_(*LABELLED, select=DUPLICATE_KEYS_SELECT),
+        "gbt_forecast": with_(*FEATURES, select=TEST_ROWS_SELECT),
+        "gbt_forecast_pooled": with_(*FEATURES, select=POOLED_TEST_ROWS_SELECT),
+        "grade_classifier": with_(*LABELLED, select=SUPPORT_SELECT),
+        "grade_board": with_(*LABELLED, select=BOARD_SELECT),
+        "prediction_contract": CONTRACT_SQL,
+        "trained_contract": "SELECT 0::BIGINT AS bad_labels, 0::BIGINT AS bad_sums",
+        "bar_files": bars_out,
+        "collect_preprocess": features,
         "zscore": with_(
             *FEATURES,
             select="""SELECT ticker, date,

@@ -19,9 +19,10 @@ from tickloom.operators.segments import SegmentLimits
 from tickloom.operators.sizing import settle
 from tickloom.plans import classification, forecasting, stock_page
 from tickloom.plans.database import PREVIEW_COLUMNS, run_database_setup
-from tickloom.plans.preprocessing import feature_table
+from tickloom.plans.collection import run_collection
+from tickloom.plans.preprocessing import feature_table, run_preprocessing
 from tickloom.session import scratch_path
-from tickloom.sources.readers import read_bar_folders, read_features
+from tickloom.sources.readers import read_bar_files, read_bar_folders, read_features
 from tickloom.sources.tables import all_rows
 from tickloom.sources.writers import write_bar_folders, write_features
 from tickloom_checks.fixtures import bars, supplier_bars, table, unmerged_bars
@@ -30,7 +31,6 @@ from tickloom_checks.words import DATA_PIECES, PREDICTION_PIECES, TICKER_PIECES
 # Cuts every series of the test data, so that the long-series path is checked.
 CUT = SegmentLimits(max_rows=200, small_bytes=0)
 ONE = "1-URGENT"
-GBT_ITERATIONS = 10
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
@@ -126,13 +126,20 @@ def vendor_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 def gbt_forecast(spark: SparkSession, sf: str) -> DataFrame:
     rows = forecasting.training_rows(bars_as_features(spark, sf))
-    fits = forecasting.train_per_series(rows, maxIter=GBT_ITERATIONS)
-    return rounded(forecasting.metrics_frame(spark, fits))
+    return _what_must_hold(forecasting.metrics_frame(spark, forecasting.train_per_series(rows)))
 
 
 def gbt_forecast_pooled(spark: SparkSession, sf: str) -> DataFrame:
     rows = forecasting.pooled_rows(bars_as_features(spark, sf))
-    return rounded(forecasting.train_pooled(rows, maxIter=GBT_ITERATIONS)[1])
+    return _what_must_hold(forecasting.train_pooled(rows)[1])
+
+
+def _what_must_hold(scores: DataFrame) -> DataFrame:
+    """Test rows of each series, and what is true of any model's metrics."""
+    finite = [F.col(c).isNotNull() & (F.abs(c) < float("inf")) for c in ("rmse", "mae", "r2", "mpe")]
+    return scores.select(
+        "ticker", "n", (F.col("rmse") >= F.col("mae")).alias("ordered"), (finite[0] & finite[1] & finite[2] & finite[3]).alias("finite")
+    )
 
 
 def bars_as_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,23 +148,67 @@ def bars_as_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def _classified(spark: SparkSession, sf: str) -> tuple:
     rows = labelled(spark, sf)
-    return (rows, *classification.train_classifier(rows, trees=20, max_depth=8))
+    return (rows, *classification.train_classifier(rows))
 
 
 def grade_classifier(spark: SparkSession, sf: str) -> DataFrame:
     predicted = _classified(spark, sf)[2]
-    return rounded(metrics.classification_report(predicted, prediction="predicted_label"))
+    report = metrics.classification_report(predicted, prediction="predicted_label")
+    sound = [F.col(c).between(0, 1) for c in ("precision", "recall", "f1")]
+    return report.select("class", "support", (sound[0] & sound[1] & sound[2]).alias("sound"))
 
 
 def grade_board(spark: SparkSession, sf: str) -> DataFrame:
     rows, model, _ = _classified(spark, sf)
-    return models.board_text(models.grade_board(model, rows))
+    board = models.grade_board(model, rows)
+    percents = {g: F.col(f"{g.lower()}_percent") for g in schema.GRADES}
+    named = F.coalesce(*[F.when(F.col("grade") == g, p) for g, p in percents.items()])
+    flags = board.select(
+        "ticker", "composite_score", (F.abs(sum(percents.values()) - 100) <= 0.3).alias("sums_to_100"),
+        (named == F.greatest(*percents.values())).alias("grade_is_likeliest"),
+    )
+    return models.board_text(board).select("ticker", "price", "rsi", "sharpe").join(flags, "ticker")
 
 
-def prediction_contract(spark: SparkSession, sf: str) -> DataFrame:
+def trained_contract(spark: SparkSession, sf: str) -> DataFrame:
     return quality.prediction_contract(_classified(spark, sf)[2])
 
 
+def prediction_contract(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions with known faults: toxic rows have an unknown grade, and bad ones a sum off 1."""
+    rows = table(spark, sf, "labels").select(
+        F.when(F.col("toxic") == 1, "Fair").when(F.col("quality") == 1, "High").otherwise("Low").alias("predicted_label"),
+        F.when(F.col("quality") == 0, F.array(F.lit(0.5), F.lit(0.4), F.lit(0.05))).otherwise(F.array(F.lit(0.5), F.lit(0.25), F.lit(0.25))).alias("probability"),
+    )
+    return quality.prediction_contract(rows)
+
+
+def bar_files(spark: SparkSession, sf: str) -> DataFrame:
+    """One CSV file per ticker in a flat directory, read back."""
+    rows = shape.rename_all(bars(spark, sf), schema.RAW_COLUMNS)
+    path = scratch_path(spark, "bar-files")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for i, (ticker,) in enumerate(latest.distinct_series(rows, "Ticker").collect()):
+        part = scratch_path(spark, "bar-file")
+        rows.filter(F.col("Ticker") == ticker).coalesce(1).write.option("header", True).csv(part)
+        files = hadoop.Path(part).getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(hadoop.Path(path))
+        files.rename(files.globStatus(hadoop.Path(f"{part}/part-*"))[0].getPath(), hadoop.Path(f"{path}/{i}_stock_data.csv"))
+    return rounded(read_bar_files(spark, path))
+
+
+def collect_preprocess(spark: SparkSession, sf: str) -> DataFrame:
+    """Vendor frames to CSV bars to the feature table, by the jobs."""
+    rows = bars(spark, sf)
+    frames = {
+        ticker: rows.filter(F.col("ticker") == ticker).select(F.col("date").alias("Date"), *[F.col(c.lower()).alias(c) for c in schema.PRICE_COLUMNS])
+        for (ticker,) in latest.distinct_series(rows).collect()
+    }
+    raw, path = scratch_path(spark, "collected"), scratch_path(spark, "features")
+    run_collection(spark, frames, raw)
+    return rounded(run_preprocessing(spark, raw, path, layout="folders"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     intent_pieces = {"tickers": TICKER_PIECES, "prediction_words": PREDICTION_PIECES, "data_words": DATA_PIECES}
     return {
@@ -223,6 +274,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stratified_split_selected": lambda s, d: splits.stratified_split(
             labelled(s, d), "label", ["ticker", "date"], small_bytes=0
         ).select("ticker", "date", "label", F.col("split")),
+        "stratified_split_duplicate_keys": lambda s, d: splits.stratified_split(
+            labelled(s, d), "label", ["ticker"], ties=["date"]
+        ).select("ticker", "date", "label", F.col("split")),
+        "stratified_split_duplicate_keys_selected": lambda s, d: splits.stratified_split(
+            labelled(s, d), "label", ["ticker"], small_bytes=0, ties=["date"]
+        ).select("ticker", "date", "label", F.col("split")),
         "zscore": lambda s, d: rounded(
             splits.standardise(features(s, d), ["close", "rsi"], ["ticker"]), "ticker", "date", "close_z", "rsi_z"
         ),
@@ -246,6 +303,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "vendor_frame": vendor_frame,
         "csv_roundtrip": csv_roundtrip,
+        "bar_files": bar_files,
+        "collect_preprocess": collect_preprocess,
         "parquet_roundtrip": parquet_roundtrip,
         "table_roundtrip": table_roundtrip,
         "table_preview": table_preview,
@@ -254,6 +313,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "grade_classifier": grade_classifier,
         "grade_board": grade_board,
         "prediction_contract": prediction_contract,
+        "trained_contract": trained_contract,
     }
 
 
