@@ -47,6 +47,7 @@ PATTERNS = (
 )
 ANY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 LEAD = {"secret": f"^{SECRET}", "woman": rf"^(?:{TITLES_F})\.? ", "man": rf"^(?:{TITLES_M})\.? "}
+MOST_ROUNDS = 40
 DIGITS_ONLY = ("card", "phone", "ssn")
 LATIN = ("ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "we", "ka", "le", "mi", "no")
 CYRILLIC = ("ба", "де", "фи", "го", "лу", "ма", "не", "ри", "со", "ту", "ва", "ви", "ка", "ле", "ми", "но")
@@ -151,7 +152,7 @@ def mapping(entities: DataFrame, key: str) -> DataFrame:
     entities = stage(entities.select("kind", "canon").distinct(), "entities")
     taken = entities.select(family.alias("family"), F.col("canon").alias("made"))
     settled, open_ = None, entities.withColumn("attempt", F.lit(0))
-    while True:
+    for _ in range(MOST_ROUNDS):
         tried = made(open_).withColumn("family", family)
         nth = Window.partitionBy("family", "made").orderBy("kind", "canon")
         tried = stage(tried.withColumn("nth", F.row_number().over(nth)), "tried")
@@ -161,6 +162,7 @@ def mapping(entities: DataFrame, key: str) -> DataFrame:
         if open_.isEmpty():
             return settled
         taken = taken.union(good.select("family", "made"))
+    raise ValueError("too many entities of one format to tell their surrogates apart")
 
 
 def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
