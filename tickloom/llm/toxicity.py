@@ -181,7 +181,7 @@ def fit(labelled: DataFrame) -> Lexicon:
         return Lexicon(curve=(20.0 if toxic else -20.0, 0.0, 0.0))
     t, c = F.col("toxic"), F.col("clean")
     counts = rows.mapInArrow(pattern_counts, "pattern string, clean long, toxic long").groupBy("pattern").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    odd = counts.withColumn("g", surprise(t, c, toxic, clean)).where((t >= LEAST_DOCS) & (F.col("g") > CANDIDATE) & (log_odds(t, c, toxic, clean) > 1))
+    odd = counts.withColumn("g", surprise(t, c, toxic, clean)).where((t >= LEAST_DOCS) & (F.col("g") > CANDIDATE) & (log_odds(t, c, toxic, clean) > 0))
     first = odd.orderBy(F.desc("g"), "pattern").limit(MAX_CANDIDATES).select("pattern").collect()  # a bounded list
     candidates = Lexicon({x["pattern"]: 1.0 for x in first})
 
