@@ -56,6 +56,19 @@ def test_no_file_is_an_error_and_overwrites_nothing(spark, tmp_path):
     assert spark.read.parquet(str(kept)).count() == 3
 
 
+def test_jobs_leave_nothing_staged(spark, bars, tmp_path):
+    from tickloom.session import scratch_root, scratch_scope, stage
+
+    before = set(os.listdir(scratch_root(spark).removeprefix("file:")))
+    with scratch_scope(spark):
+        assert stage(bars(A=range(10))).count() == 10
+        assert set(os.listdir(scratch_root(spark).removeprefix("file:"))) > before
+    (tmp_path / "bars").mkdir()
+    lines = [f"A,{2000 + i // 300}-{i // 28 % 10 + 1:02d}-{i % 28 + 1:02d},1,2,0.5,{1 + i % 5},100" for i in range(3000)]
+    run_preprocessing(spark, bar_file(tmp_path / "bars", *lines), str(tmp_path / "features"))
+    assert set(os.listdir(scratch_root(spark).removeprefix("file:"))) == before
+
+
 def test_collected_bars_are_preprocessed(spark, bars, tmp_path):
     vendor = bars(A=range(10, 130)).drop("ticker")
     run_collection(spark, {"A": vendor, "B": vendor}, str(tmp_path / "bars"))

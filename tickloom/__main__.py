@@ -12,7 +12,7 @@ from tickloom.plans.classification import run_classification
 from tickloom.plans.database import run_database_setup
 from tickloom.plans.forecasting import run_forecasting
 from tickloom.plans.preprocessing import run_preprocessing
-from tickloom.session import build_session
+from tickloom.session import build_session, scratch_scope
 from tickloom.sources.readers import LAYOUTS, read_bar_files, read_serving
 
 
@@ -47,6 +47,11 @@ def parse(arguments=None) -> argparse.Namespace:
 def main(arguments=None) -> None:
     options = parse(arguments)
     spark = build_session()
+    with scratch_scope(spark):
+        run(spark, options)
+
+
+def run(spark, options: argparse.Namespace) -> None:
     if options.job == "check":
         series_quality(read_bar_files(spark, options.bars)).show(truncate=False)
     elif options.job == "preprocess":

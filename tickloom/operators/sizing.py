@@ -50,8 +50,11 @@ def place(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def broadcast_if_small(side: DataFrame) -> DataFrame:
     """Marks a staged side for broadcast if its size in memory, bounded by its
-    row count and its longest strings, allows it."""
-    strings = [f.name for f in side.schema if isinstance(f.dataType, T.StringType)]
+    row count and its longest strings, allows it. Sides with nested columns,
+    whose size that does not bound, are not marked."""
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in side.schema):
+        return side
+    strings = [f.name for f in side.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     rows, *longest = side.agg(F.count(F.lit(1)), *[F.max(F.octet_length(c)) for c in strings]).first()
     row_bytes = 32 + 16 * len(side.columns) + sum(n or 0 for n in longest)
     return F.broadcast(side) if rows * row_bytes <= BROADCAST_BYTES else side

@@ -8,6 +8,7 @@ from tickloom import schema
 from tickloom.operators.indicators import drop_incomplete, indicators
 from tickloom.operators.segments import SegmentLimits
 from tickloom.operators.sizing import settle
+from tickloom.session import scratch_scope
 from tickloom.sources.readers import read_bars, read_features
 from tickloom.sources.writers import write_features
 
@@ -30,7 +31,8 @@ def run_preprocessing(
     """CSV bars to a Parquet feature table; returns the table read back, so
     looking at it does not compute it again. `layout` is "files" for one file
     per ticker, "folders" for what `run_collection` writes."""
-    # Large text is parsed once; counting rows then reads one column.
-    bars = settle(read_bars(spark, bars_directory, layout), "bars")
-    write_features(feature_table(bars, limits=limits), output_path)
+    with scratch_scope(spark):
+        # Large text is parsed once; counting rows then reads one column.
+        bars = settle(read_bars(spark, bars_directory, layout), "bars")
+        write_features(feature_table(bars, limits=limits), output_path)
     return read_features(spark, output_path)

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tickloom import schema
 from tickloom.functions.intent import mentioned_ticker, message_intent
 from tickloom.functions.scalar import fixed, money, percent_text, thousands
+from tickloom.operators.forecast import drift_forecast
 from tickloom.operators.latest import latest_rows
 
+# Lengths of the page's tables, their columns and display names.
 PAGE_DAYS = 180
 TABLE_ROWS = 20
 TABLE_COLUMNS = ("date", "open", "high", "low", "close", "volume", "daily_return")
@@ -52,6 +54,17 @@ def answer_table(df: DataFrame, series: str = schema.SERIES) -> DataFrame:
     return rows.withColumnsRenamed(ANSWER_COLUMNS)
 
 
+def stock_page(df: DataFrame, board: DataFrame, steps: int = schema.FORECAST_STEPS, series: str = schema.SERIES, **forecast) -> DataFrame:
+    """One row per series: the metrics of its latest row, its grade and
+    confidence from `board` (as `grade_board` gives them; null without), and the
+    forecast prices as a list of display text, nearest first."""
+    prices = drift_forecast(df, steps=steps, series=series, **forecast)
+    step = F.struct("step", money(F.col("price")).alias("text"))
+    prices = prices.groupBy(series).agg(F.transform(F.array_sort(F.collect_list(step)), lambda x: x["text"]).alias("forecast"))
+    percents = [f"{g.lower()}_percent" for g in schema.GRADES]
+    return page_metrics(df, series).join(board.select(series, "grade", *percents), series, "left").join(prices, series, "left")
+
+
 def tag_messages(df: DataFrame, text: str = "text", **words) -> DataFrame:
     """Adds `intent` and `ticker` to a table of messages."""
     tickers = {"tickers": words["tickers"]} if "tickers" in words else {}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,9 +52,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes what was staged within, at the end: for jobs whose results are
+    written or shown by then. Frames that still read it must not leave."""
+    held: list[str] = []
+    _scopes.append(held)
+    try:
+        yield
+    finally:
+        _scopes.remove(held)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        for path in map(hadoop, held):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a frame to the shared folder and read it back, so that later jobs
     do not repeat its work and a lost executor costs only a re-read."""
     path = scratch_path(df.sparkSession, name)
+    for held in _scopes:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,8 @@ def create_table(spark: SparkSession, name: str = schema.SERVING_TABLE, location
     """Creates the table if it does not exist. Spark tables have no primary
     key; uniqueness is a check in `operators.quality`."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.SERVING_SCHEMA)
-    place = f" LOCATION '{location}'" if location else ""
+    quoted = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = f" LOCATION '{quoted}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{place}")
 
 

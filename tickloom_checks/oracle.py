@@ -341,6 +341,17 @@ FROM features""",
             select="""SELECT ticker, printf('$%.2f', round(close, 2)) AS price, format('{:,}', volume) AS volume,
   printf('%.2f%%', round(daily_return * 100, 2)) AS daily_return, printf('%.1f', round(rsi, 1)) AS rsi
 FROM newest WHERE rn = 1""",
+        ),
+        "stock_page": with_(
+            *LABELLED, NEWEST_SQL, STEPS.format(n=7),
+            """prices AS (SELECT ticker, string_agg(printf('$%.2f', round(last_price * pow(1 + mean_return, step), 2)), ' ' ORDER BY step) AS forecast
+  FROM steps GROUP BY ticker),
+grades AS (SELECT ticker, label FROM labelled QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1)""",
+            select="""SELECT ticker, printf('$%.2f', round(close, 2)) AS price, format('{:,}', volume) AS volume,
+  printf('%.2f%%', round(daily_return * 100, 2)) AS daily_return, printf('%.1f', round(rsi, 1)) AS rsi, label AS grade,
+  (CASE WHEN label = 'High' THEN 100 ELSE 0 END)::DOUBLE AS high_percent, (CASE WHEN label = 'Medium' THEN 100 ELSE 0 END)::DOUBLE AS medium_percent,
+  (CASE WHEN label = 'Low' THEN 100 ELSE 0 END)::DOUBLE AS low_percent, forecast
+FROM newest JOIN grades USING (ticker) JOIN prices USING (ticker) WHERE rn = 1""",
         ),
         "stock_page_table": with_(
             *NEWEST, select=f"SELECT ticker, date, {r4(*RAW)}, volume, {r4('daily_return')} FROM newest WHERE rn <= 20"

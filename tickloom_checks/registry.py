@@ -209,6 +209,15 @@ def collect_preprocess(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(run_preprocessing(spark, raw, path, layout="folders"))
 
 
+def whole_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The page with the grades that scores give, as certain ones."""
+    rows = labelled(spark, sf)
+    newest = latest.latest_rows(rows, 1).withColumn("grade", F.col("label"))
+    percents = {f"{g.lower()}_percent": F.when(F.col("label") == g, 100.0).otherwise(0.0) for g in schema.GRADES}
+    page = stock_page.stock_page(features(spark, sf), newest.withColumns(percents), sigma=0)
+    return page.withColumn("forecast", F.array_join("forecast", " "))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     intent_pieces = {"tickers": TICKER_PIECES, "prediction_words": PREDICTION_PIECES, "data_words": DATA_PIECES}
     return {
@@ -296,6 +305,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "conv_id", "turn", "intent", "ticker"
         ),
         "stock_page_metrics": lambda s, d: stock_page.page_metrics(features(s, d)),
+        "stock_page": whole_page,
         "stock_page_table": lambda s, d: rounded(stock_page.page_table(features(s, d))),
         "answer_table": lambda s, d: _rounded_as_is(stock_page.answer_table(features(s, d))),
         "union_series": lambda s, d: rounded(
