@@ -84,9 +84,56 @@ SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken,
 FROM k
 """
 
+NGRAM_JOIN = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct([array_to_string(w[i : i + 2], ' ') FOR i IN range(1, len(w) - 1)])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
+    FROM d
+), c AS (
+    SELECT doc_id, g, len(g)::BIGINT AS n, md5(array_to_string(list_sort(g), chr(10))) AS class FROM s
+), classes AS (
+    SELECT class, min(doc_id) AS id, any_value(g) AS g, any_value(n) AS n FROM c WHERE n > 0 GROUP BY class
+), e AS (SELECT id, n, unnest(g) AS x FROM classes
+), links AS (
+    SELECT a.id AS i, b.id AS j FROM e a JOIN e b ON a.x = b.x AND a.id < b.id
+    GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), ways AS (SELECT i, j FROM links UNION ALL SELECT j, i FROM links
+), reach AS (
+    SELECT id, id AS r FROM classes UNION SELECT w.j, r FROM reach JOIN ways w ON w.i = reach.id
+), roots AS (SELECT id, min(r) AS root FROM reach GROUP BY id)
+SELECT doc_id, c.n AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM c LEFT JOIN classes k ON k.class = c.class AND c.n > 0 LEFT JOIN roots ON roots.id = k.id
+"""
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i : i + 19], ' ')) AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)
+), again AS (
+    SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, i + k AS p FROM again, range(20) t(k)
+), removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(removed.n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_ngram_join": NGRAM_JOIN,
+        "op4_substring_dedup": SUBSTRING_DEDUP,
         "op5_exact_dedup": EXACT_DEDUP,
         "op6_quality_rules": QUALITY_RULES,
         "op8_source_mix": SOURCE_MIX,
