@@ -183,7 +183,8 @@ def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
         F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"), F.sum(F.size("words")).alias("n_entities"),
     )
     found = stage(found, "replacements")
-    both = keyed.join(found, "key", "left")
+    # One kind of join at every size: replacements grow with the texts.
+    both = keyed.join(found.hint("merge"), "key", "left")
     # Bare mentions are replaced between the matches, where no surrogate stands yet.
     name = lambda text, x: F.call_function("regexp_replace", text, F.concat(F.lit(r"(?<!\p{L})\Q"), x["value"], F.lit(r"\E(?!\p{L})")), x["made"])
     between = F.transform(F.split("text", ANY, -1), lambda t: F.aggregate("names", t, name))
