@@ -4,7 +4,7 @@ A line's set holds its distinct words; lines without a word are left alone. A li
 earlier line (smaller id, or same id and smaller number) has an equal set, or one with
 `den * |A & B| >= num * |A | B|`, whether or not that line stays.
 
-1. Words are counted in `SLOTS` hash slots, an array of fixed size that goes to every task.
+1. Words are counted in `SLOTS` hash slots, a table of fixed size that goes to every task.
    It orders the words of a line by rarity; any fixed order gives the same links.
 2. Equal sets are collapsed, pre-aggregated before the shuffle. What follows is about one
    line for each set.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tickloom.session import stage
 
-SLOTS = 1 << 20
+SLOTS = 1 << 18
 BLOCK_BITS = 10
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -41,14 +41,19 @@ def slot(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
 
 
-def frequencies(texts: DataFrame) -> DataFrame:
-    """One row: the number of words in each slot, as an array of `SLOTS` integers."""
+def frequencies(texts: DataFrame) -> bytes:
+    """How common the words of each slot are, a byte each on a logarithmic scale.
+
+    Of fixed size whatever the corpus, so it goes to tasks as a literal: an array column
+    would be copied into every row.
+    """
     found = texts.select(F.explode(words(F.col("text"))).alias("w")).groupBy(slot(F.col("w")).alias("s")).agg(F.count("*").alias("c"))
     zero = texts.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("s"), F.lit(0).cast("long").alias("c"))
-    full = zero.union(found).groupBy("s").agg(F.least(F.sum("c"), F.lit(2**31 - 1)).cast("int").alias("c"))
+    full = zero.union(found).groupBy("s").agg(F.sum("c").alias("c"))
+    full = full.withColumn("c", F.lpad(F.hex(F.least(F.floor(6 * F.log2(F.col("c") + 1)), F.lit(255)).cast("long")), 2, "0"))
     ordered = lambda rows: F.array_sort(F.collect_list(rows))
-    blocks = full.groupBy(F.shiftright("s", BLOCK_BITS).alias("b")).agg(F.transform(ordered(F.struct("s", "c")), lambda x: x["c"]).alias("a"))
-    return blocks.agg(F.flatten(F.transform(ordered(F.struct("b", "a")), lambda x: x["a"])).alias("slots"))
+    blocks = full.groupBy(F.shiftright("s", BLOCK_BITS).alias("b")).agg(F.array_join(F.transform(ordered(F.struct("s", "c")), lambda x: x["c"]), "").alias("a"))
+    return bytes(blocks.agg(F.unhex(F.array_join(F.transform(ordered(F.struct("b", "a")), lambda x: x["a"]), ""))).first()[0])
 
 
 def set_key(tokens: Column) -> Column:
@@ -58,10 +63,9 @@ def set_key(tokens: Column) -> Column:
 def line_sets(texts: DataFrame, num: int, den: int) -> DataFrame:
     """One row per distinct set: `key`, `n`, `bits` and the hashes of its prefix."""
     rows = texts.select(F.explode(F.split("text", "\n")).alias("line")).select(F.array_distinct(words(F.col("line"))).alias("tokens")).where(F.size("tokens") > 0)
-    slots = stage(frequencies(texts), "slots")
-    rows = rows.crossJoin(F.broadcast(slots))  # one row of fixed size
+    common = F.lit(frequencies(texts))
     n = F.size("tokens")
-    ranked = F.array_sort(F.transform("tokens", lambda w: F.struct(F.element_at("slots", slot(w) + 1), F.hash(w))))
+    ranked = F.array_sort(F.transform("tokens", lambda w: F.struct(F.hex(F.substring(common, slot(w) + 1, F.lit(1))), F.hash(w))))
     prefix = F.transform(F.slice(ranked, F.lit(1), n - F.ceil(n * num / den).cast("int") + 1), lambda x: x["col2"])
     bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, w: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(w).bitwiseAND(F.lit(63)).cast("int"))))
     rows = rows.select(set_key(F.col("tokens")).alias("key"), n.alias("n"), bits.alias("bits"), prefix.alias("prefix"))
