@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import features, indicators, splits
+from tickloom.operators import segments, features, indicators, splits
 from tickloom.operators.segments import CORE, SEGMENT, SegmentLimits, lay_out
 
 WHOLE = SegmentLimits(small_bytes=1 << 50)
@@ -111,3 +111,16 @@ def test_same_time_rows_stay_together(spark):
     )
     out = indicators.moving_averages(rows, windows=[3], limits=cut(50))
     assert out.count() == 500 and out.filter("MA_3 = 1.0").count() == 500
+
+
+def test_a_series_without_times_leaves_others_their_cuts(spark):
+    dated = spark.range(3000).select(F.lit("B").alias("ticker"), F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.col("id").cast("double").alias("close"))
+    bare = spark.range(1200).select(F.lit("A").alias("ticker"), F.when(F.col("id") >= 900, F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int"))).alias("date"), F.col("id").cast("double").alias("close"))
+    df = dated.unionByName(bare)
+    limits = segments.SegmentLimits(max_rows=100, small_bytes=0)
+    layout = segments.lay_out(df, before=5, limits=limits)
+    sizes = {(r["ticker"], r[segments.SEGMENT]): r["count"] for r in layout.df.groupBy("ticker", segments.SEGMENT).count().collect()}
+    assert max(n for (ticker, _), n in sizes.items() if ticker == "B") <= 220
+    cut = layout.finish(layout.df.withColumn("sum", F.sum("close").over(layout.last_rows(6)))).filter("ticker = 'B'")
+    assert all(r["sum"] == sum(range(max(0, int(r["close"]) - 5), int(r["close"]) + 1)) for r in cut.collect())
+    assert cut.count() == 3000

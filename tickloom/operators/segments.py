@@ -111,9 +111,10 @@ def _join_small(df: DataFrame, side: DataFrame, on: dict[str, str], how: str) ->
     return joined.drop(*on.values())
 
 
-def _count_slots(df, hot, series, time, firsts, limits) -> tuple[DataFrame, int, int]:
+def _count_slots(df, hot, series, time, firsts, limits) -> tuple[DataFrame, int]:
     """Rows per (series, slot) of the long series, with slots narrowed until
-    the fullest one is at most half a segment or as narrow as time allows."""
+    the fullest one is at most half a segment or as narrow as time allows.
+    Rows without a time share a slot that no width narrows."""
     kind = df.select(time).schema[0].dataType
     stamped = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
     width = limits.slot_seconds if stamped else limits.slot_days
@@ -126,19 +127,20 @@ def _count_slots(df, hot, series, time, firsts, limits) -> tuple[DataFrame, int,
             ),
             "slots",
         )
-        peak = slots.agg(F.max("n")).first()[0]
+        peak = slots.filter(F.col(SLOT) != NO_TIME).agg(F.max("n")).first()[0] or 0
         room = max(limits.max_rows // 2, 1)
         if peak <= room or width == 1:
-            return slots, width, peak
+            return slots, width
         width = max(1, width * room // peak)
 
 
-def _route(slots: DataFrame, series: str, stride: int, before: int, after: int, firsts) -> DataFrame:
+def _route(slots: DataFrame, series: str, least: int, before: int, after: int, firsts) -> DataFrame:
     """One row per (slot, segment its rows go to).
 
-    With `stride` at least twice the fullest slot and twice the halo, segment
-    starts lie further apart than a halo is long, so a slot serves at most its
-    own segment and the two next to it.
+    A series is cut at a stride of at least `least` rows and twice its own
+    fullest slot. With that and twice the halo, segment starts lie further
+    apart than a halo is long, so a slot serves at most its own segment and the
+    two next to it.
     """
     by_series = Window.partitionBy(series)
     running = by_series.orderBy(SLOT)
@@ -149,7 +151,8 @@ def _route(slots: DataFrame, series: str, stride: int, before: int, after: int,
         *[F.first(FIRST_PREFIX + c).over(running).alias("_whole" + FIRST_PREFIX + c) for c in firsts],
     ).drop(*[FIRST_PREFIX + c for c in firsts])
     placed = placed.withColumn("end", F.col("start") + F.col("n"))
-    placed = placed.withColumn(SEGMENT, F.floor(F.col("start") / F.lit(stride)))
+    stride = F.greatest(F.lit(least), 2 * F.max("n").over(by_series))
+    placed = placed.withColumn(SEGMENT, F.floor(F.col("start") / stride))
     segment = Window.partitionBy(series, SEGMENT)
     placed = placed.withColumn("seg_start", F.min("start").over(segment))
     placed = placed.withColumn("seg_end", F.max("end").over(segment))
@@ -199,9 +202,9 @@ def lay_out(
     )
     if hot.isEmpty():
         return whole
-    slots, width, peak = _count_slots(df, hot, series, time, firsts, limits)
-    stride = max(limits.max_rows, 2 * peak, 2 * max(before, after, 1))
-    routes = stage(_route(slots, series, stride, before, after, firsts), "routes")
+    slots, width = _count_slots(df, hot, series, time, firsts, limits)
+    least = max(limits.max_rows, 2 * max(before, after, 1))
+    routes = stage(_route(slots, series, least, before, after, firsts), "routes")
     cut = _join_small(df.withColumn(SLOT, _slot_of(df, time, width)), routes, {series: KEY, SLOT: KEY_SLOT}, "left")
     cut = cut.withColumn(SEGMENT, F.coalesce(SEGMENT, F.lit(0))).withColumn(CORE, F.coalesce(CORE, F.lit(True)))
     return SeriesLayout(cut, (series, SEGMENT), time)
