@@ -46,7 +46,7 @@ ROWS = [
     (25, "aaa aaaa aaaaa"), (26, "x" + "=" * 300 + "    \x00"),
 ]
 # A repeated row, an id that comes twice, and null ids.
-ODD = [*ROWS, (14, "a b c"), (14, BASE[1]), (None, BASE[0] + " "), (None, "only here, under no id")]
+ODD = [*ROWS, (14, "a b c"), (14, BASE[1]), (None, BASE[0] + " "), (None, "only here, under no id"), (None, "and another text under no id")]
 
 
 def frame(spark, rows, **more):

@@ -356,7 +356,8 @@ def classes_of(docs: DataFrame, carry: list[str], text_col: str, k: int) -> tupl
 
 def ngram_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id, `n_shingles`, `component_id` (the smallest id reachable
-    by links) and `class` (the key of its set)."""
+    by links), `class` (the key of its set) and `root` (the key of its component; null without
+    shingles)."""
     rows, key, size = classes_of(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), ["id"], "text", k)
     rows = stage(rows, "classes")
     least = rows.where(F.col(size) > 0).groupBy(F.col(key).alias("key"), F.col(size).alias("n")).agg(F.min("id").alias("least"))
@@ -366,9 +367,9 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col:
     least = least.join(joined, least[key] == joined["node"], "left").select(key, "least", F.coalesce("root", key).alias("root"))
     least = stage(least, "roots")
     by_root = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    lookup = least.join(by_root, "root").select(key, "component_id")
+    lookup = least.join(by_root, "root").select(key, "component_id", "root")
     out = rows.join(lookup, key, "left")
-    return out.select(F.col("id").alias(id_col), size, F.when(F.col(size) > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), key)
+    return out.select(F.col("id").alias(id_col), size, F.when(F.col(size) > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), key, "root")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -376,9 +377,9 @@ def one_of_each(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col:
     with the smallest id, a null id last. Texts without a word all stay."""
     names = docs.columns
     found = ngram_join(docs, k, num, den, id_col, text_col).where("n_shingles > 0")
-    # A component of null ids only is known by its smallest class; others by their id.
+    # Components are told apart by root, as those of null ids only have no id.
     first = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    first = first.groupBy("component_id").agg(F.min("class").alias("kept"))
+    first = first.groupBy("root", "component_id").agg(F.min("class").alias("kept"))
     rows, key, size = classes_of(docs, names, text_col, k)
     best = first.select(F.col("kept"), F.col("component_id").alias("kept_id"))
     same = (F.col(key) == F.col("kept")) & F.col(f"`{id_col}`").eqNullSafe(F.col("kept_id"))
