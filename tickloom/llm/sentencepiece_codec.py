@@ -35,7 +35,8 @@ from tickloom.llm.textual import ODD, fresh_name, mix, slices
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
-CACHE = 400_000
+CACHE = 300_000
+SLICE = 4 << 20  # bytes of text whose new words advance together
 LONG = 48
 NEVER = np.int32(1 << 30)
 #: Fixed value: what an unknown character costs below the worst piece of a unigram model.
@@ -280,7 +281,7 @@ def text_hash(text: str) -> int:
 def encoding(batches: Iterator[pa.RecordBatch], pieces: Pieces, names: list[str]) -> Iterator[pa.RecordBatch]:
     known: dict[str, bytes] = {}
     last = len(names) - 1
-    for batch in slices(batches, last):
+    for batch in slices(batches, last, SLICE):
         words = [pieces.words(x or "") for x in batch.column(last).to_pylist()]
         if len(known) > CACHE:
             known.clear()

@@ -19,7 +19,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 ODD = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -30,6 +30,7 @@ from tickloom.llm.textual import slices
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = np.int32(2**31 - 1)
 CACHE = 200_000
+SLICE = 4 << 20  # bytes of text whose new pre-tokens are merged together
 
 
 def byte_letters() -> list[str]:
@@ -103,7 +104,7 @@ def counted(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.R
     cut = regex.compile(PATTERN)
     added = regex.compile("|".join(map(regex.escape, sorted(merges.added, key=len, reverse=True)))) if merges.added else None
     known: dict[str, int] = {}
-    for batch in slices(batches, 1):
+    for batch in slices(batches, 1, SLICE):
         pieces, specials = [], []
         for text in batch.column(1).to_pylist():
             parts = added.split(text or "") if added else [text or ""]
