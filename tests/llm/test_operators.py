@@ -372,6 +372,19 @@ def test_toxicity_with_exceptions(spark, none):
     assert {r.predicted for r in without} == {0}
 
 
+def test_toxicity_among_copies(spark):
+    """Copies of toxic texts with thousands of words of their own do not displace the terms."""
+    long = [" ".join(f"{a}{b}{c}{d}{end}" for a in "bdfghjkmnp" for b in "aeiou" for c in "bdfgh" for d in "aeiou") for end in ("orum", "asque", "undid", "ebbel")]
+    rows = toxic_rows(400)
+    copies = [(1000 + i, long[i % 4], 1) for i in range(400)]
+    labelled = spark.createDataFrame([(t, y) for _, t, y in rows + copies], "text string, toxic int")
+    lexicon = toxicity.fit(labelled.repartition(4))
+    assert {" scoundrei ", " brutish "} <= set(lexicon.weights) and " dear scoundrei " not in lexicon.weights
+    assert not any(x.startswith(w[:5]) for x in lexicon.weights for w in (" baba", " pugu"))
+    once = toxicity.fit(labelled.distinct())
+    assert (lexicon.weights, lexicon.exceptions) == (once.weights, once.exceptions)
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test data")
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"

@@ -5,8 +5,8 @@ they imitate, everything that is no letter to one space. `i`, `l`, `1`, `!` and
 one letter, as each stands for the others. Patterns are whole words and word beginnings.
 
 Fitting, on a bounded sample of labelled rows (`max_rows`, by a hash of the id):
-1. Documents with a pattern are counted by label; patterns more common in toxic ones,
-   beyond chance, are candidates.
+1. Equal texts of one label count once, here and in all that follows. Texts with a pattern
+   are counted by label; all patterns more common in toxic ones, beyond chance, are candidates.
 2. Their neighbouring words are collected. A pattern's weight is the log odds of its
    distinct contexts, so that copies of one document count once. Word pairs around a
    pattern that are found in clean documents only become exception phrases.
@@ -16,7 +16,7 @@ phrase does not count.
 
 Null and empty texts match nothing and get the score of such a text. A null id is never
 held out and never has a label. Labels that are null do not count; if an id has several,
-the highest does. Repeated rows are rows like others. Without labels of both kinds every
+the highest does. Repeated rows are scored like others. Without labels of both kinds every
 score is the share of toxic labels (0 without any).
 """
 
@@ -55,8 +55,6 @@ TAIL = re.compile(r"[!|+$@€]+(?=\s|$)|(?<!\S)[!|+]+")
 OTHER = re.compile(r"[\W_]+")
 STEMS = (4, 5, 6, 7, 8)
 MAX_ROWS = 50_000
-MAX_CANDIDATES = 20_000
-MAX_LEXICON = 4_096
 LEAST_DOCS, LEAST_CONTEXTS = 3, 5
 CANDIDATE, CHANCE = 10.0, 20.0  # G-squared
 
@@ -173,8 +171,9 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.01) -> np.ndarray:
 
 
 def fit(labelled: DataFrame) -> Lexicon:
-    """Learns from rows of `text`, `toxic` (0 or 1); the caller bounds them."""
-    rows = stage(labelled.select("text", F.col("toxic").cast("long").alias("toxic")), "labelled")
+    """Learns from rows of `text`, `toxic` (0 or 1); the caller bounds them, and with them and
+    the thresholds what is collected here."""
+    rows = stage(labelled.select("text", F.col("toxic").cast("long").alias("toxic")).distinct(), "labelled")
     sums = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
     toxic, clean = float(sums["t"]), float(sums["n"] - sums["t"])
     if not toxic or not clean:
@@ -182,17 +181,17 @@ def fit(labelled: DataFrame) -> Lexicon:
     t, c = F.col("toxic"), F.col("clean")
     counts = rows.mapInArrow(pattern_counts, "pattern string, clean long, toxic long").groupBy("pattern").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odd = counts.withColumn("g", surprise(t, c, toxic, clean)).where((t >= LEAST_DOCS) & (F.col("g") > CANDIDATE) & (log_odds(t, c, toxic, clean) > 0))
-    first = odd.orderBy(F.desc("g"), "pattern").limit(MAX_CANDIDATES).select("pattern").collect()  # a bounded list
-    candidates = Lexicon({x["pattern"]: 1.0 for x in first})
+    candidates = Lexicon({x["pattern"]: 1.0 for x in odd.select("pattern").collect()})
 
     near = stage(rows.mapInArrow(lambda b: contexts(b, candidates), "pattern string, before string, after string, toxic long").distinct(), "contexts")
     by_label = [F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")]
     kept = near.groupBy("pattern").agg(*by_label).withColumn("w", log_odds(t, c, toxic, clean))
     kept = kept.where((t >= LEAST_CONTEXTS) & (surprise(t, c, toxic, clean) > CHANCE) & (F.col("w") > 1))
-    weights = {x["pattern"]: x["w"] for x in kept.orderBy(F.desc("w"), "pattern").limit(MAX_LEXICON).collect()}
-    phrases = near.where(F.col("pattern").isin(list(weights))) if weights else near.limit(0)
+    kept = stage(kept.select("pattern", "w"), "lexicon")
+    weights = {x["pattern"]: x["w"] for x in kept.collect()}
+    phrases = near.join(F.broadcast(kept.select("pattern")), "pattern", "left_semi")
     phrases = phrases.select(F.explode(F.array("before", "after")).alias("phrase"), "toxic").groupBy("phrase").agg(*by_label)
-    innocent = phrases.where((c >= LEAST_CONTEXTS) & (t == 0)).orderBy(F.desc("clean"), "phrase").limit(MAX_LEXICON).collect()
+    innocent = phrases.where((c >= LEAST_CONTEXTS) & (t == 0)).collect()
     lexicon = Lexicon(weights, {x["phrase"] for x in innocent})
 
     points = rows.mapInArrow(lambda b: scored(b, lexicon), "toxic long, weight double, density double").toPandas()
