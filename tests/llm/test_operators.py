@@ -8,6 +8,7 @@ import struct
 import sys
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,6 +116,21 @@ def test_pieces_equal_the_library(odd, none):
         assert ids_of(b"".join(pieces.encode_words(words))) == library.encode(t)
 
 
+def test_pieces_of_very_long_runs():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces = sentencepiece_codec.read_pieces(MODEL)
+    for t in (*(f"some {c * 200_001} words" for c in " -=a"), "ab" * 3000 + "the=" * 500, "日" * 1500, " " * 1001):
+        assert ids_of(b"".join(pieces.encode_words(pieces.words(t)))) == library.encode(t)
+    words = ["aaab" * 260, "=" * 1200, "-" * 300 + " " * 900]
+    alone = pieces.encode_words(words)
+    for word, ids in zip(words, alone, strict=True):
+        back, piece = pieces.segment(np.array([[ord(c) for c in word]], np.uint32))
+        single_back, single_piece = pieces.segment_alone(word)
+        assert (back == single_back).all() and (piece == single_piece).all() and ids
+
+
 def test_unigram_takes_the_best_way():
     from sentencepiece import sentencepiece_model_pb2
 

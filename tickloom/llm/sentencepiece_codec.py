@@ -4,7 +4,7 @@ White space becomes the letter U+2581 and one is put in front, as the model asks
 where no piece reaches across; the distinct words of a slice that are not known yet advance
 together by length. At each end, hashes of all substrings that end there probe the sorted
 keys of the pieces, scores of the best way to each start are added, and the maximum leaves a
-backpointer.
+backpointer. A word of more than `ALONE` letters takes the same steps by itself.
 
 A unigram model allows every piece anywhere. A BPE model allows a piece only where its merges
 would put it: a text's pieces are what the merges give if each two neighbours, taken by
@@ -20,7 +20,9 @@ independent: repeated rows and null ids come out as they went in; other columns
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,7 @@ NORMAL, UNKNOWN, BYTE = 1, 2, 6
 CACHE = 300_000
 SLICE = 4 << 20  # bytes of text whose new words advance together
 LONG = 48
+ALONE = 1_000
 NEVER = np.int32(1 << 30)
 #: Fixed value: what an unknown character costs below the worst piece of a unigram model.
 UNKNOWN_PENALTY = 10.0
@@ -89,6 +92,7 @@ class Pieces:
 
         texts = [names[i] for i in normal]
         self.longest = max(map(len, texts))
+        self.ids = dict(zip(texts, normal, strict=True))
         order = np.argsort(keys := np.array([text_hash(x) for x in texts], np.uint64))
         self.keys, self.key_ids = keys[order], np.array(normal, np.int64)[order]
         inner = any(SPACE in x.lstrip(SPACE) for x in texts)
@@ -131,6 +135,7 @@ class Pieces:
                 rank[i, : len(chain)] = [r for _, r in chain]
             self.edge[side] = symbol, rank
         self.slow: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The piece of each hash, or -1."""
@@ -204,6 +209,36 @@ class Pieces:
             piece[who[win], end] = found[win]
         return back, piece
 
+    def pair_apart(self, left: int, right: int) -> bool:
+        pair = left, right
+        if pair not in self.pairs:
+            if len(self.pairs) > CACHE:
+                self.pairs.clear()
+            self.pairs[pair] = bool(self.apart(np.array([left]), np.array([right]))[0])
+        return self.pairs[pair]
+
+    def segment_alone(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """What `segment` gives, for one word, in time and memory in proportion to its length."""
+        size, scores = len(word), self.scores.tolist()
+        best = array("d", [-math.inf]) * (size + 1)
+        best[0] = 0
+        back, piece = array("i", [0]) * (size + 1), array("i", [-1]) * (size + 1)
+        for end in range(1, size + 1):
+            for step in range(1, min(self.longest, end) + 1):
+                start = end - step
+                found = self.ids.get(word[start:end], self.n if step == 1 else -1)
+                if found < 0:
+                    continue
+                if self.bpe:
+                    if found != self.n and not self.stable[found]:
+                        continue
+                    if start and (piece[start] < 0 or not self.pair_apart(piece[start], found)):
+                        continue
+                value = best[start] + scores[found]
+                if value >= best[end] and value > -math.inf:  # of equals the longest, which comes last
+                    best[end], back[end], piece[end] = value, step, found
+        return np.array([back]), np.array([piece])
+
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of each word, as packed 32-bit integers: small to keep and quick to join."""
         sizes = np.array([len(x) for x in words])
@@ -211,9 +246,10 @@ class Pieces:
         starts = np.cumsum(sizes) - sizes
         out: list = [None] * len(words)
         for size in np.unique(sizes).tolist():
-            for group in np.array_split(same := np.flatnonzero(sizes == size), -(-len(same) * size // 200_000)):
+            same, some = np.flatnonzero(sizes == size), 1 if size > ALONE else 200_000 // size
+            for group in np.split(same, range(some, len(same), some)):
                 letters = points[starts[group][:, None] + np.arange(size)]
-                back, piece = self.segment(letters)
+                back, piece = self.segment_alone(words[group[0]]) if size > ALONE else self.segment(letters)
                 at = np.full(len(group), size)
                 ways = []
                 while (at > 0).any():
