@@ -169,6 +169,17 @@ def test_ngram_join_in_blocks(spark, monkeypatch):
     assert got == Counter(plain.components(rows, 3, 4, 5))
 
 
+def test_ngram_join_compares_classes_not_rows(spark, monkeypatch):
+    """Repeated rows, and null ids of one class, bring one text to the blocks."""
+    staged, stage = {}, ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    near = edited(BASE[0], 1)
+    rows = [(1, BASE[0])] * 30 + [(None, near if i % 2 else near.replace(" ", "  ")) for i in range(30)] + [(2, edited(BASE[0], 1)), (2, BASE[1])]
+    got = found(ngram_join.ngram_join(frame(spark, rows), 3, 4, 5), "doc_id", "n_shingles", "component_id")
+    assert got == Counter(plain.components(rows, 3, 4, 5))
+    assert staged["members"].count() == staged["members"].select("key").distinct().count() == 3
+
+
 def test_one_of_each_group(odd, none):
     want = [(x, t) for x, t in ODD]
     parts = plain.components(want, 5, 4, 5)

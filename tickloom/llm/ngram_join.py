@@ -321,9 +321,10 @@ def links(docs: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> Da
     work = work.join(met, work["class"] == met["node"]).drop("node")
 
     # One row of each class brings the text; the others hash to other places, as id is a key.
+    # Rows of one class and id become one before they are dealt.
     wanted = classes.withColumn("class", class_number(F.col("key"))).join(work, "class").select("key", F.xxhash64("least").alias("row"), "root", "matches", "prefix", "n")
     texts, key, _ = classes_of(docs, ["id", "text"], "text", k)
-    texts = texts.select(F.col(key).alias("key"), F.xxhash64("id").alias("row"), "text")
+    texts = texts.groupBy(F.col(key).alias("key"), F.xxhash64("id").alias("row")).agg(F.min("text").alias("text"))
     work = wanted.join(texts, ["key", "row"]).select("root", "key", "n", "matches", "prefix", F.col("text").alias("shingles"))
     kinds = T.StructType([*work.schema[:-1]]).add("shingles", T.ArrayType(T.LongType()))
     work = stage(work.mapInArrow(lambda b: with_shingles(b, k, kinds.names), kinds), "members")
