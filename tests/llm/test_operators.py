@@ -343,6 +343,24 @@ def test_surrogates(spark, odd, none):
     assert pii.surrogates(none, "k").count() == 0
 
 
+def test_surrogates_of_accounts_and_inner_capitals(spark):
+    accounts = ["DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "FR14 2004 1010 0505 0001 3M02 606", "NL91 ABNA 0417 1643 00",
+                "IT60 X054 2811 1010 0000 0123 456", "NO93 8601 1117 947", "ES91 2100 0418 4502 0005 1332", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    people = ["Mr. O'Brien", "Herr Jean-Pierre Dupont", "Mr McDonald", "Mrs Anna-Maria D’Angelo"]
+    rows = [(i, f"pay {a} IN FULL, or {a.replace(' ', '')}; AND") for i, a in enumerate(accounts)] + [(100 + i, f"so {x} left.") for i, x in enumerate(people)]
+    rows.append((200, "XX12 ABCD EFGH 1234 left, AB12CDEFGHIJKLMNOPQ stays"))
+    got = {r.doc_id: r for r in pii.surrogates(frame(spark, rows), "k").collect()}
+    for i, a in enumerate(accounts):
+        new, plain_ = got[i].text.removeprefix("pay ").removesuffix("; AND").split(" IN FULL, or ")
+        assert got[i].n_entities == 2 and got[i].kinds == ["iban"] and new.replace(" ", "") == plain_
+        assert [len(x) for x in new.split()] == [len(x) for x in a.split()] and plain_[:2] == a[:2] and new[-6:] != a[-6:]
+    for i, x in enumerate(people):
+        assert got[100 + i].text.startswith(f"so {x.split()[0]} ") and got[100 + i].text.endswith(" left.")
+        assert got[100 + i].n_entities == len(x.split()) - 1
+        assert not any(w in got[100 + i].text for w in ("Brien", "Pierre", "Dupont", "Donald", "Maria", "Angelo"))
+    assert "ABCD" not in got[200].text and "AB12CDEFGHIJKLMNOPQ stays" in got[200].text
+
+
 def test_surrogates_collide_never(spark):
     rows = [(i, f"ssn {i // 100:03d}-{i % 100:02d}-{i % 7:04d}") for i in range(3000)]
     ids = spark.createDataFrame([(f"{i:02d}",) for i in range(25)], "canon string").withColumn("kind", F.lit("secret"))

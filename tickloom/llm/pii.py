@@ -30,8 +30,19 @@ from tickloom.session import stage
 # Titles before names.
 TITLES_F = "Mrs|Ms|Miss|Frau|Madame|Mme|Mademoiselle|Señora|Sra|Госпожа|госпожа"
 TITLES_M = "Mr|Mister|Herr|Monsieur|Señor|Sr|Господин|господин"
-NAME = r"\p{Lu}[\p{Ll}'’-]+"
+NAME = r"\p{Lu}(?:[\p{Ll}'’-]|(?<=[\p{Ll}'’-])\p{Lu})+"
+# The length of an account number in each country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "AO|CV|GW|LY|MZ|PT|ST",
+    26: "DZ|IR|IS|TR", 27: "BI|CF|CG|CM|DJ|FR|GA|GQ|GR|IT|KM|MC|MG|MR|SM|TD",
+    28: "AL|AZ|BF|BJ|BY|CI|CY|DO|GT|HN|HU|LB|MA|ML|NE|NI|PL|SN|SV|TG", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
 SECRET = r"(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?"
+#: Of a known country its length, the last group being what is left; else whole groups of four.
+IBAN = "|".join(
+    [rf"(?:{c})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + r"\b" for n, c in IBAN_LENGTHS.items()] + [r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}\b"]
+)
 #: Type and pattern; the first that a match fits names its type.
 PATTERNS = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
@@ -41,7 +52,7 @@ PATTERNS = (
     ("card", r"(?<!\d)\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}(?!\d)"),
     ("phone", r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}[-.]\d{3}[-.]\d{4}(?!\d)"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}\b"),
+    ("iban", rf"\b(?=[A-Z]{{2}}\d{{2}})(?:{IBAN})"),
     ("woman", rf"\b(?:{TITLES_F})\.? {NAME}(?: {NAME})?"),
     ("man", rf"\b(?:{TITLES_M})\.? {NAME}(?: {NAME})?"),
 )
