@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact_dedup, line_dedup, ngram_join, pii, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
+from tickloom.llm import exact_dedup, line_dedup, ngram_join, pii, prefix_trie, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
 
 LIMIT = 1024
 
@@ -78,5 +78,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each with the first turns of the first of its five."""
+    turns = prefix_trie.turns_in_order(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    n_head = F.crc32(F.col("conv").cast("string").cast("binary")) % 9
+    return prefix_trie.prefix_trie(*prefix_trie.with_heads_of(turns, F.col("conv") - F.col("conv") % 5, n_head, most=8))
+
+
 def queries() -> dict:
     return {name: job for name, job in globals().items() if name.startswith("op")}

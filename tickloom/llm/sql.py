@@ -130,6 +130,48 @@ FROM d LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+#: CRC-32 of a conversation id's decimal text, by its table of 256 entries.
+PREFIX_TRIE = r"""
+WITH crc AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)),
+        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab
+), t AS (
+    SELECT conv_id::BIGINT AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+    SELECT c, role, text, row_number() OVER (PARTITION BY c
+        ORDER BY turn NULLS FIRST, sha256(strlen(role)::VARCHAR || ':' || role || text)) AS p FROM t
+), k AS (
+    SELECT c, n, c - c % 5 AS base, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]))) % 9 AS h
+    FROM (SELECT c, count(*) AS n FROM t GROUP BY c), crc
+), r AS (
+    SELECT k.c, p AS d, role, text FROM k JOIN o ON o.c = k.base AND p <= h
+    UNION ALL
+    SELECT k.c, p - k.h + least(k.h, coalesce(b.n, 0)), role, text FROM k JOIN o ON o.c = k.c AND p > k.h LEFT JOIN k b ON b.c = k.base
+), s AS (
+    SELECT c, d, strlen(text)::BIGINT AS bytes, sha256(string_agg(strlen(role)::VARCHAR || ':' || strlen(text)::VARCHAR || ':' || role || text, ''
+        ORDER BY d) OVER (PARTITION BY c ORDER BY d)) AS node, d = max(d) OVER (PARTITION BY c) AS last
+    FROM r
+    UNION ALL
+    SELECT c, 0, 0, '', c NOT IN (SELECT c FROM r) FROM k
+), v AS (
+    SELECT s.*, lag(node) OVER (PARTITION BY c ORDER BY d) AS up FROM s
+), n AS (
+    SELECT node, d, any_value(up) AS up, min(c) AS c, count(*) AS n_convs, any_value(bytes) AS bytes,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+    FROM v GROUP BY node, d
+), w AS (
+    SELECT n.*, (SELECT count(*) FROM n x WHERE x.up = n.node AND x.d = n.d + 1) AS n_children FROM n
+), totals AS (
+    SELECT a.node, a.d, sum((w.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((w.n_convs - 1) * w.bytes)::BIGINT AS saved_tokens
+    FROM w JOIN v a ON a.c = w.c AND a.d <= w.d GROUP BY a.node, a.d
+)
+SELECT w.c AS conv_id, w.d::BIGINT AS depth, x.c AS parent_conv_id, w.n_convs::BIGINT AS n_convs, w.n_children::BIGINT AS n_children,
+    n_leaves, saved_tokens, w.ends_sha256
+FROM w JOIN totals USING (node, d) LEFT JOIN n x ON x.node = w.up AND x.d = w.d - 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_ngram_join": NGRAM_JOIN,
@@ -137,4 +179,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_exact_dedup": EXACT_DEDUP,
         "op6_quality_rules": QUALITY_RULES,
         "op8_source_mix": SOURCE_MIX,
+        "op11_prefix_trie": PREFIX_TRIE,
     }
