@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact_dedup, line_dedup, ngram_join, pii, prefix_trie, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
+from tickloom.llm import collocations, exact_dedup, line_dedup, ngram_join, pii, prefix_trie, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
 
 LIMIT = 1024
 
@@ -85,5 +85,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(*prefix_trie.with_heads_of(turns, F.col("conv") - F.col("conv") % 5, n_head, most=8))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of two and three words of every language."""
+    return collocations.collocations(documents(spark, sf_dir), min_count=10, max_words=3, top=2000, inside_percent=50)
+
+
 def queries() -> dict:
     return {name: job for name, job in globals().items() if name.startswith("op")}

@@ -172,6 +172,36 @@ FROM w JOIN totals USING (node, d) LEFT JOIN n x ON x.node = w.up AND x.d = w.d
 """
 
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), grams AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i : i + k - 1])) AS g
+    FROM pieces, (VALUES (1), (2), (3)) t(k) WHERE len(w) >= k
+), f AS (
+    SELECT lang, k, g, count(*) AS a FROM grams GROUP BY lang, k, g
+), sizes AS (
+    SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), cuts AS (
+    SELECT lang, k, g, a, unnest(range(1, k)) AS cut FROM f WHERE k > 1 AND a >= 10
+), scored AS (
+    SELECT c.lang, c.k, c.g, c.a, l.a AS l, r.a AS r, 1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a) AS score
+    FROM cuts c JOIN f l ON l.lang = c.lang AND l.g = c.g[1 : cut] JOIN f r ON r.lang = c.lang AND r.g = c.g[cut + 1 :]
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, cut) = 1
+), longer AS (
+    SELECT lang, g[i : i + 1] AS g, max(a) AS b FROM scored, (VALUES (1), (2)) t(i) WHERE k = 3 GROUP BY ALL
+), ranked AS (
+    SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, array_to_string(s.g, ' ')) AS rank
+    FROM scored s LEFT JOIN longer USING (lang, g) WHERE b IS NULL OR 100 * b < 50 * a
+)
+SELECT lang, rank::BIGINT AS rank, array_to_string(g, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_ngram_join": NGRAM_JOIN,
@@ -180,4 +210,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": QUALITY_RULES,
         "op8_source_mix": SOURCE_MIX,
         "op11_prefix_trie": PREFIX_TRIE,
+        "op13_collocations": COLLOCATIONS,
     }
