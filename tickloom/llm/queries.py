@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import collocations, exact_dedup, line_dedup, ngram_join, pii, prefix_trie, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity
+from tickloom.llm import collocations, exact_dedup, line_dedup, ngram_join, pii, prefix_trie, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity, url_filter
 
 LIMIT = 1024
 
@@ -85,6 +85,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(*prefix_trie.with_heads_of(turns, F.col("conv") - F.col("conv") % 5, n_head, most=8))
 
 
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page judged by the list of rules, else by rules mined from the labels of the documents it shows."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    labelled = url_filter.labels_of_pages(pages, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return url_filter.judge(pages, url_filter.mined_rules(labelled), ["page_id"])
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strongest phrases of two and three words of every language."""
     return collocations.collocations(documents(spark, sf_dir), min_count=10, max_words=3, top=2000, inside_percent=50)

@@ -202,6 +202,62 @@ FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
 """
 
 
+#: Enumerates all combinations of the chosen tokens, where the operator mines them. The bound on
+#: labelled URLs, which smaller tables do not reach, is left out.
+URL_FILTER = r"""
+WITH parts AS (
+    SELECT DISTINCT url, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme,
+        translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1) AS query,
+        regexp_extract(url, '(?s)^.*?://[^#]*#(.*)$', 1) AS fragment, string_split(host, '.') AS labels
+    FROM pages WHERE contains(url, '://')
+), u AS (
+    SELECT url, host, path, list_distinct(list_concat(
+        list_transform(list_filter([scheme], lambda x: x <> ''), lambda x: 's:' || x),
+        list_transform(list_filter(list_append(list_transform(range(1, least(len(labels), 4) + 1), lambda n: array_to_string(labels[-n:], '.')), host), lambda x: x <> ''), lambda x: 'h:' || x),
+        list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: 'p:' || regexp_replace(x, '[0-9]+', '0', 'g')),
+        list_transform(list_filter(string_split(query, '&'), lambda x: x <> ''), lambda x: 'q:' || regexp_replace(x, '[0-9]+', '0', 'g')),
+        list_transform(list_filter([fragment], lambda x: x <> ''), lambda x: 'f:' || regexp_replace(x, '[0-9]+', '0', 'g'))
+    )) AS tokens FROM parts
+), judged AS (
+    SELECT doc_id, max(coalesce(quality = 0 OR toxic = 1, false)::INT) AS bad FROM labels GROUP BY doc_id
+), t AS (
+    SELECT url, tokens, bad FROM u JOIN judged ON doc_id = TRY_CAST(regexp_extract(path, '([0-9]{1,18})[^0-9]*$', 1) AS BIGINT)
+), spread AS (
+    SELECT url, bad, unnest(tokens) AS token FROM t
+), worth AS (
+    SELECT token, count(*) AS n, sum(bad) AS n_bad FROM spread GROUP BY token HAVING sum(bad) >= 10
+), chosen AS (
+    SELECT url, bad, token FROM spread JOIN worth USING (token)
+    QUALIFY row_number() OVER (PARTITION BY url ORDER BY n_bad / n DESC, n_bad DESC, token) <= 10
+), baskets AS (
+    SELECT url, bad, list(token ORDER BY token) AS items FROM chosen GROUP BY url, bad
+), sets AS (
+    SELECT bad, list_filter(items, lambda x, i: (pick >> (i - 1)) & 1 = 1) AS items
+    FROM (SELECT *, unnest(range(1, (1 << len(items)))) AS pick FROM baskets)
+), candidates AS (
+    SELECT items FROM sets GROUP BY items HAVING sum(bad) >= 10 AND sum(bad) / count(*) >= 0.5
+), sure AS (
+    SELECT items, sum(bad) AS support, sum(bad) / count(*) AS confidence FROM candidates JOIN t ON list_has_all(tokens, items)
+    GROUP BY items HAVING sum(bad) >= 10 AND sum(bad) / count(*) >= 0.5
+), rules AS (
+    SELECT array_to_string(items, ' ') AS mined, * FROM sure s WHERE NOT EXISTS (
+        SELECT 1 FROM sure x WHERE x.items <> s.items AND list_has_all(s.items, x.items) AND x.confidence >= s.confidence)
+), hits AS (
+    SELECT url, mined, confidence FROM u JOIN rules ON list_has_all(tokens, items)
+    QUALIFY row_number() OVER (PARTITION BY url ORDER BY confidence DESC, support DESC, mined DESC) = 1
+), fixed(verdict, h, p) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), listed AS (
+    SELECT url, h || p AS rule, verdict FROM u JOIN fixed ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    QUALIFY row_number() OVER (PARTITION BY url ORDER BY length(h || p) DESC, length(h) DESC) = 1
+)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+    coalesce(verdict, CASE WHEN mined IS NULL THEN 'allow' ELSE 'block' END) AS verdict, mined, confidence
+FROM pages LEFT JOIN u USING (url) LEFT JOIN listed USING (url) LEFT JOIN hits USING (url)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_ngram_join": NGRAM_JOIN,
@@ -210,5 +266,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": QUALITY_RULES,
         "op8_source_mix": SOURCE_MIX,
         "op11_prefix_trie": PREFIX_TRIE,
+        "op12_url_filter": URL_FILTER,
         "op13_collocations": COLLOCATIONS,
     }
