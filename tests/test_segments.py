@@ -124,3 +124,37 @@ def test_a_series_without_times_leaves_others_their_cuts(spark):
     cut = layout.finish(layout.df.withColumn("sum", F.sum("close").over(layout.last_rows(6)))).filter("ticker = 'B'")
     assert all(r["sum"] == sum(range(max(0, int(r["close"]) - 5), int(r["close"]) + 1)) for r in cut.collect())
     assert cut.count() == 3000
+
+
+@pytest.mark.parametrize("kind", ["none", "days", "seconds", "some"])
+def test_tied_rows_are_cut_and_equal_the_uncut_series(spark, kind):
+    """All rows without a time, all on few days, or within few seconds; with columns that decide between them."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.floor(F.col("id") / 400).cast("int"))
+    times = {
+        "none": F.lit(None).cast("date"), "days": day, "some": F.when(F.col("id") % 3 > 0, day),
+        "seconds": F.timestamp_seconds(F.floor(F.col("id") / 600)),
+    }
+    rows = spark.range(1200).select(
+        F.lit("A").alias("ticker"), times[kind].alias("date"), (F.pmod(F.col("id") * 7907, F.lit(1201)) + 1).cast("double").alias("close")
+    ).unionByName(spark.range(30).select(F.lit("B").alias("ticker"), times[kind].alias("date"), F.col("id").cast("double").alias("close")))
+    whole = SegmentLimits(small_bytes=1 << 50, ties=("close",))
+    parts = cut(100, ties=("close",))
+    layout = lay_out(rows.repartition(5), before=6, limits=parts)
+    sizes = [r["count"] for r in layout.df.filter("ticker = 'A'").groupBy(SEGMENT).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 400
+    assert layout.df.filter(CORE).count() == rows.count()
+    for run in (
+        lambda limits: splits.chronological_split(rows, limits=limits),
+        lambda limits: indicators.moving_averages(rows, windows=[7], limits=limits),
+        lambda limits: features.total_return(rows, limits=limits),
+    ):
+        assert rows_of(run(parts)) == rows_of(run(whole))
+
+
+def test_tied_rows_are_cut_without_named_ties(spark):
+    """Without columns that decide, the order is any; every row still has one place."""
+    rows = spark.range(900).select(F.lit("A").alias("ticker"), F.lit(None).cast("date").alias("date"), F.col("id").cast("double").alias("close"))
+    numbered = splits.chronological_split(rows, limits=cut(100))
+    assert sorted(r["row_num"] for r in numbered.collect()) == list(range(1, 901))
+    assert {r["split"]: r["count"] for r in numbered.groupBy("split").count().collect()} == {"train": 720, "val": 90, "test": 90}
+    assert numbered.columns == ["ticker", "date", "close", "row_num", "split"]

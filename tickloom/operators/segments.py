@@ -9,7 +9,9 @@ bounded frames reach back (or ahead) to. Windows then run per segment, and
 
 All frames count rows, so cuts and halos are placed by row position: a pass
 over (series, time slot) counts gives the position of each slot, and a small
-routing table says which segments a slot's rows go to.
+routing table says which segments a slot's rows go to. Rows of one time, or
+without one, share a slot that no width narrows; if they are too many for a
+segment, the slot is split by a hash of the row, which then orders its rows.
 """
 
 from __future__ import annotations
@@ -26,10 +28,11 @@ from tickloom.schema import SERIES, TIME
 from tickloom.session import stage
 
 SEGMENT, CORE, BASE, TOTAL = "_segment", "_core", "_base", "_total"
-SLOT = "_slot"
-KEY, KEY_SLOT = "_key", "_key_slot"
+SLOT, SUB, TIE, BITS = "_slot", "_sub", "_tie", "_bits"
+KEY, KEY_SLOT, KEY_SUB = "_key", "_key_slot", "_key_sub"
 FIRST_PREFIX = "_first_"
-NO_TIME = -(1 << 40)  # slot of rows without a time; nulls sort first, so does this
+NO_TIME = -(1 << 62)  # slot of rows without a time; nulls sort first, so does this
+STAMPS = (T.TimestampType, T.TimestampNTZType)
 
 
 @dataclass(frozen=True)
@@ -40,12 +43,17 @@ class SegmentLimits:
     `small_bytes` (default: a quarter of a scan split) are not counted at all. The first
     slot width is in days for dates and in seconds for timestamps; it is
     refined until slots are small against a segment.
+
+    `ties` are columns that decide between rows of one time: with them the
+    order of a series is defined up to equal values, cut or not. Without them
+    rows of one time come in any order.
     """
 
     max_rows: int = 500_000
     small_bytes: int | None = None
     slot_days: int = 32
     slot_seconds: int = 1 << 15
+    ties: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -55,6 +63,7 @@ class SeriesLayout:
     df: DataFrame
     keys: tuple[str, ...]
     time: str
+    tied: bool = False
 
     @property
     def is_cut(self) -> bool:
@@ -62,7 +71,7 @@ class SeriesLayout:
 
     @property
     def ordered(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(self.time)
+        return Window.partitionBy(*self.keys).orderBy(self.time, *([TIE] if self.tied else []))
 
     def last_rows(self, n: int) -> WindowSpec:
         """The current row and the n-1 before it."""
@@ -89,15 +98,15 @@ class SeriesLayout:
     def finish(self, df: DataFrame) -> DataFrame:
         """Drop halo copies and helper columns from a frame derived from `df`."""
         if not self.is_cut:
-            return df
-        helpers = [c for c in df.columns if c in (SLOT, SEGMENT, CORE, BASE, TOTAL) or c.startswith(FIRST_PREFIX)]
+            return df.drop(TIE) if self.tied else df
+        helpers = [c for c in df.columns if c in (SLOT, SUB, TIE, SEGMENT, CORE, BASE, TOTAL) or c.startswith(FIRST_PREFIX)]
         return df.filter(F.col(CORE)).drop(*helpers)
 
 
 def _slot_of(df: DataFrame, time: str, width: int) -> Column:
     kind = df.select(time).schema[0].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        number = F.unix_seconds(F.col(time).cast("timestamp"))
+    if isinstance(kind, STAMPS):
+        number = F.unix_micros(F.col(time).cast("timestamp"))
     else:
         number = F.unix_date(F.col(time).cast("date")).cast("long")
     return F.coalesce(F.floor(number / F.lit(width)), F.lit(NO_TIME))
@@ -111,27 +120,55 @@ def _join_small(df: DataFrame, side: DataFrame, on: dict[str, str], how: str) ->
     return joined.drop(*on.values())
 
 
-def _count_slots(df, hot, series, time, firsts, limits) -> tuple[DataFrame, int]:
-    """Rows per (series, slot) of the long series, with slots narrowed until
-    the fullest one is at most half a segment or as narrow as time allows.
-    Rows without a time share a slot that no width narrows."""
+def _tie(df: DataFrame, ties: tuple[str, ...]) -> Column:
+    """A hash of the tie columns, by default of all columns of plain types."""
+    plain = [f.name for f in df.schema if isinstance(f.dataType, (T.AtomicType, T.NullType)) and not isinstance(f.dataType, T.VariantType)]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in ties or plain])
+
+
+def _with_sub(df: DataFrame, series: str, full: DataFrame | None) -> DataFrame:
+    """Adds the part of a full slot that a row's hash falls into, 0 elsewhere. Parts follow the order of the hash."""
+    if full is None:
+        return df.withColumn(SUB, F.lit(0).cast("long"))
+    df = _join_small(df, full, {series: KEY, SLOT: KEY_SLOT}, "left")
+    return df.withColumn(SUB, F.when(F.col(BITS).isNull(), F.lit(0)).otherwise(F.expr(f"shiftright({TIE}, 64 - {BITS})"))).drop(BITS)
+
+
+def _count_slots(df, hot, series, time, firsts, limits) -> tuple[DataFrame, int, DataFrame | None]:
+    """Rows per (series, slot, part) of the long series, the width of a slot, and the slots that are split.
+
+    Slots are narrowed until the fullest one is at most half a segment or as
+    narrow as time allows. Slots of a single time, or of none, that are still
+    too full are split into 2**bits parts by the hash of the row.
+    """
     kind = df.select(time).schema[0].dataType
-    stamped = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
-    width = limits.slot_seconds if stamped else limits.slot_days
-    long_rows = _join_small(df.select(series, time, *firsts), hot, {series: KEY}, "left_semi")
+    stamped = isinstance(kind, STAMPS)
+    width = limits.slot_seconds * 1_000_000 if stamped else limits.slot_days
+    long_rows = _join_small(df.select(series, time, TIE, *firsts), hot, {series: KEY}, "left_semi")
+    room, faster = max(limits.max_rows // 2, 1), 1
+
+    def counted(rows: DataFrame, tied: bool) -> DataFrame:
+        order = F.struct(time, TIE) if tied else F.struct(time)
+        first = [F.min_by(c, order).alias(FIRST_PREFIX + c) for c in firsts]
+        return stage(rows.groupBy(series, SLOT, SUB).agg(F.count(F.lit(1)).alias("n"), *first), "slots")
+
     while True:
-        slots = stage(
-            long_rows.groupBy(series, _slot_of(df, time, width).alias(SLOT)).agg(
-                F.count(F.lit(1)).alias("n"),
-                *[F.min_by(c, F.col(time)).alias(FIRST_PREFIX + c) for c in firsts],
-            ),
-            "slots",
-        )
+        slotted = long_rows.withColumn(SLOT, _slot_of(df, time, width))
+        slots = counted(_with_sub(slotted, series, None), bool(limits.ties))
         peak = slots.filter(F.col(SLOT) != NO_TIME).agg(F.max("n")).first()[0] or 0
-        room = max(limits.max_rows // 2, 1)
         if peak <= room or width == 1:
-            return slots, width
-        width = max(1, width * room // peak)
+            break
+        # Ties do not give way to a narrower slot, so the steps grow.
+        width = max(1, width * room // (peak * faster))
+        faster *= 2
+    one_time = F.col(SLOT) == NO_TIME
+    if width == 1 and isinstance(kind, (T.DateType, *STAMPS)):
+        one_time = F.lit(True)
+    bits = (F.ceil(F.log2(F.col("n") / room)) + 1).cast("int").alias(BITS)
+    full = stage(slots.filter(one_time & (F.col("n") > room)).select(F.col(series).alias(KEY), F.col(SLOT).alias(KEY_SLOT), bits), "full-slots")
+    if full.isEmpty():
+        return slots, width, None
+    return counted(_with_sub(slotted, series, full), True), width, full
 
 
 def _route(slots: DataFrame, series: str, least: int, before: int, after: int, firsts) -> DataFrame:
@@ -143,7 +180,7 @@ def _route(slots: DataFrame, series: str, least: int, before: int, after: int, f
     two next to it.
     """
     by_series = Window.partitionBy(series)
-    running = by_series.orderBy(SLOT)
+    running = by_series.orderBy(SLOT, SUB)
     placed = slots.select(
         "*",
         F.sum("n").over(by_series).alias(TOTAL),
@@ -170,6 +207,7 @@ def _route(slots: DataFrame, series: str, least: int, before: int, after: int, f
     return routed.select(
         F.col(series).alias(KEY),
         F.col(SLOT).alias(KEY_SLOT),
+        F.col(SUB).alias(KEY_SUB),
         F.col("target.to").alias(SEGMENT),
         F.col("target.core").alias(CORE),
         F.min("start").over(Window.partitionBy(series, F.col("target.to"))).alias(BASE),
@@ -193,7 +231,9 @@ def lay_out(
     ahead; `firsts` are columns whose first value in the series is needed.
     """
     limits = limits or SegmentLimits()
-    whole = SeriesLayout(df, (series,), time)
+    if limits.ties:
+        df = df.withColumn(TIE, _tie(df, limits.ties))
+    whole = SeriesLayout(df, (series,), time, bool(limits.ties))
     if is_small(df, limits.small_bytes):
         return whole
     hot = stage(
@@ -202,9 +242,12 @@ def lay_out(
     )
     if hot.isEmpty():
         return whole
-    slots, width = _count_slots(df, hot, series, time, firsts, limits)
+    hashed = df if limits.ties else df.withColumn(TIE, _tie(df, ()))
+    slots, width, full = _count_slots(hashed, hot, series, time, firsts, limits)
     least = max(limits.max_rows, 2 * max(before, after, 1))
     routes = stage(_route(slots, series, least, before, after, firsts), "routes")
-    cut = _join_small(df.withColumn(SLOT, _slot_of(df, time, width)), routes, {series: KEY, SLOT: KEY_SLOT}, "left")
+    tied = bool(limits.ties) or full is not None
+    rows = (hashed if tied else df).withColumn(SLOT, _slot_of(df, time, width))
+    cut = _join_small(_with_sub(rows, series, full), routes, {series: KEY, SLOT: KEY_SLOT, SUB: KEY_SUB}, "left")
     cut = cut.withColumn(SEGMENT, F.coalesce(SEGMENT, F.lit(0))).withColumn(CORE, F.coalesce(CORE, F.lit(True)))
-    return SeriesLayout(cut, (series, SEGMENT), time)
+    return SeriesLayout(cut, (series, SEGMENT), time, tied)
