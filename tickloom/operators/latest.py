@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tickloom import schema
+from tickloom.operators.positions import add_positions
 from tickloom.operators.segments import SegmentLimits, lay_out
 
 LATEST_COLUMNS = ("close", "rsi", "ma_7", "ma_30", "daily_return")
@@ -98,6 +99,11 @@ def ordered_table(df: DataFrame, series: str = schema.SERIES, time: str = schema
     return df.orderBy(series, time)
 
 
+def numbered_table(df: DataFrame, series: str = schema.SERIES, time: str = schema.TIME, name: str = "position") -> DataFrame:
+    """The whole table with the place of each row by series and time, from 1, without a window that holds it all."""
+    return add_positions(df, [series, time], name)
+
+
 def preview(df: DataFrame, columns=None, n: int = 5) -> DataFrame:
     """A few rows to look at."""
     return (df.select(*columns) if columns else df).limit(n)

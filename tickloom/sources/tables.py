@@ -37,6 +37,31 @@ def replace_table(df: DataFrame, name: str = schema.SERVING_TABLE, location: str
     return seen.get["n"]
 
 
+def bucketed_table(
+    df: DataFrame, name: str, location: str | None = None, rows_per_bucket: int = 200_000, most_rows_of_ticker: int = 5_000_000
+) -> int:
+    """Replaces the table with the frame, in buckets by ticker, sorted by date within; returns the number of buckets.
+
+    A look-up of a ticker reads one bucket, and windows, latest rows and counts
+    per ticker need no shuffle, as an index on ticker and date would give. All
+    rows of a bucket are read by one task then. So the number of buckets
+    follows the rows, and a table in which a single ticker has more than
+    `most_rows_of_ticker` rows gets no buckets (0): it is range-partitioned as
+    by `replace_table`, whose long series the operators cut.
+    """
+    sizes = df.groupBy("ticker").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
+    if (sizes["most"] or 0) > most_rows_of_ticker:
+        replace_table(df, name, location)
+        return 0
+    buckets = max(1, -(-(sizes["all"] or 0) // rows_per_bucket))
+    placed = df.repartition(buckets, "ticker").sortWithinPartitions("ticker", "date")
+    writer = placed.write.mode("overwrite").format("parquet").bucketBy(buckets, "ticker").sortBy("ticker", "date")
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
+    return buckets
+
+
 def load_table(
     spark: SparkSession, path: str, name: str = schema.SERVING_TABLE, location: str | None = None
 ) -> int:
@@ -44,6 +69,16 @@ def load_table(
     return replace_table(read_serving(spark, path), name, location)
 
 
+def table_version(spark: SparkSession, name: str = schema.SERVING_TABLE) -> str:
+    """Changes whenever the table is written: a digest of its files' names, sizes and times. Spark gives every write
+    new file names."""
+    root = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+    each = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    found = files.agg(F.count(F.lit(1)), F.coalesce(F.sum(each), F.lit(0)).cast("string")).first()
+    return f"{found[0]}-{found[1].lstrip('-')}"
+
+
 def all_rows(spark: SparkSession, name: str = schema.SERVING_TABLE) -> DataFrame:
     """The whole table ordered by ticker and date."""
     return ordered_table(spark.table(name))

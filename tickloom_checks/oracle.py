@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tickloom import schema
 from tickloom_checks.fixtures import BARS_SQL, ORDER_ROWS_SQL, SUPPLIER_ROWS_SQL
-from tickloom_checks.words import DATA_PIECES, PREDICTION_PIECES, TICKER_PIECES
+from tickloom_checks.words import DATA_PIECES, MANY_PIECES, PREDICTION_PIECES, TICKER_PIECES
 
 W = "PARTITION BY ticker ORDER BY date"
 RAW = ["open", "high", "low", "close"]
@@ -92,6 +92,7 @@ ENGINEERED = (*FEATURES, ENGINEERED_SQL)
 LABELLED = (*ENGINEERED, SCORED_SQL)
 LAGS = (*BARS, LAGS_SQL)
 NEWEST = (*FEATURES, NEWEST_SQL)
+SUPPLIER_FEATURES = (SUPPLIER_ROWS_SQL, BARS_SQL, CHANGES_SQL, FRAMES_SQL, FEATURES_SQL)
 
 FEATURE_COLUMNS = f"ticker, date, {r4(*RAW)}, volume, {r4(*INDICATORS)}"
 ENGINEERED_COLUMNS = ["total_return", "return_7d", "return_30d", "ma7_vs_ma30", "ma30_vs_ma90", "avg_rsi"]
@@ -137,10 +138,24 @@ DUPLICATE_KEYS_SELECT = """SELECT ticker, date, label,
             <= floor(count(*) OVER (PARTITION BY label) * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split
 FROM labelled"""
 
+SAMPLED_SELECT = f"""SELECT ticker, date, label, CASE WHEN (CAST(('0x' || substr(md5(ticker || '|' || CAST(date AS VARCHAR) || '|42'), 1, 13)) AS BIGINT) + 1)::DOUBLE
+  / {16**13}::DOUBLE <= 0.8::DOUBLE THEN 'train' ELSE 'test' END AS split FROM labelled"""
+
+# Substrings of the length of a ticker, looked up in the list.
+MANY_TICKERS_SQL = f"""WITH listed AS (
+  SELECT unnest({list(MANY_PIECES)}) AS name, unnest(range({len(MANY_PIECES)})) AS rank),
+found AS (
+  SELECT conv_id, turn, min(rank) AS rank FROM (
+    SELECT DISTINCT conv_id, turn, unnest(list_transform(range(1, length(text) - 2), lambda i: substr(lower(text), i, 4))) AS piece FROM conversations)
+  JOIN listed ON piece = lower(name) GROUP BY conv_id, turn)
+SELECT c.conv_id, c.turn, name AS ticker FROM conversations c LEFT JOIN found USING (conv_id, turn) LEFT JOIN listed USING (rank)"""
+
 # Test rows of a series: complete lag rows lack the first 30 and the last row.
 TEST_ROWS_SELECT = """SELECT ticker, CAST(k - floor(k * 0.8::DOUBLE) - floor(k * 0.1::DOUBLE) AS BIGINT) AS n, true AS ordered, true AS finite
 FROM (SELECT ticker, count(*) - 31 AS k FROM features GROUP BY ticker) WHERE k > 0"""
 
+SAME_ROWS_SELECT = f"SELECT ticker, n, true AS equal FROM ({TEST_ROWS_SELECT})"
+
 # The pooled model splits before it makes lags, so only the last row lacks its target.
 POOLED_TEST_ROWS_SELECT = """SELECT ticker, CAST(k - floor(k * 0.8::DOUBLE) - floor(k * 0.1::DOUBLE) AS BIGINT) - 1 AS n, true AS ordered, true AS finite
 FROM (SELECT ticker, count(*) AS k FROM features GROUP BY ticker)"""
@@ -281,6 +296,23 @@ LEFT JOIN labelled l ON l.label = g.label GROUP BY g.label""",
         ),
         "series_history": with_(*FEATURES, select=f"SELECT {FEATURE_COLUMNS} FROM features WHERE ticker = '1-URGENT'"),
         "ordered_table": features,
+        "numbered_table": with_(*FEATURES, select=f"SELECT {FEATURE_COLUMNS}, row_number() OVER (ORDER BY ticker, date) AS position FROM features"),
+        "page_rows": with_(*NEWEST, select=f"SELECT {FEATURE_COLUMNS} FROM newest WHERE rn <= 180"),
+        "sampled_split": with_(*LABELLED, select=SAMPLED_SELECT),
+        "vendor_wide": bars_out,
+        "bar_file_manifest": with_(*BARS, select="SELECT ticker, count(*) AS n_rows, true AS named FROM bars GROUP BY ticker"),
+        "bucketed_latest": with_(
+            *SUPPLIER_FEATURES, NEWEST_SQL, select=latest.replace("ticker, date,", "ticker, CAST(date AS VARCHAR) AS date,")
+        ),
+        "bucketed_average": with_(
+            *SUPPLIER_FEATURES, select=f"SELECT ticker, CAST(date AS VARCHAR) AS date, round(avg(close) {over(7)}, 4) AS ma_7 FROM features"
+        ),
+        "kept_stock_rows": with_(*NEWEST, select=serving + " WHERE rn <= 30 AND ticker = '1-URGENT'"),
+        "message_tickers_many": MANY_TICKERS_SQL,
+        "gbt_forecast_many": with_(*SUPPLIER_FEATURES, select=TEST_ROWS_SELECT),
+        "many_model_roundtrip": with_(*FEATURES, select=SAME_ROWS_SELECT),
+        "forecaster_roundtrip": with_(*FEATURES, select=f"SELECT * FROM ({SAME_ROWS_SELECT}) WHERE ticker IN ('1-URGENT', '5-LOW')"),
+        "classifier_roundtrip": with_(*LABELLED, select="SELECT ticker, count(*) AS n, true AS equal FROM labelled GROUP BY ticker"),
         "recent_mean_return": with_(*NEWEST, select=f"SELECT ticker, {r4('mean_return')} FROM state"),
         "distinct_series": with_(*BARS, select="SELECT DISTINCT ticker FROM bars"),
         "row_counts": with_(*BARS, select="SELECT count(*) AS n_rows FROM bars"),

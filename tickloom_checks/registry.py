@@ -11,9 +11,11 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tickloom import schema
+from tickloom.functions.intent import mentioned_ticker
 from tickloom.operators import features as feats
 from tickloom.operators import indicators as ind
 from tickloom.operators import labels, latest, metrics, models, quality, shape, splits
+from tickloom.operators.boosting import TreeParams, fit_many, predict_many
 from tickloom.operators.forecast import drift_forecast, forecast_table
 from tickloom.operators.segments import SegmentLimits
 from tickloom.operators.sizing import settle
@@ -22,11 +24,12 @@ from tickloom.plans.database import PREVIEW_COLUMNS, run_database_setup
 from tickloom.plans.collection import run_collection
 from tickloom.plans.preprocessing import feature_table, run_preprocessing
 from tickloom.session import scratch_path
+from tickloom.sources.cache import kept_stock_data
 from tickloom.sources.readers import read_bar_files, read_bar_folders, read_features
-from tickloom.sources.tables import all_rows
-from tickloom.sources.writers import write_bar_folders, write_features
+from tickloom.sources.tables import all_rows, bucketed_table, latest_prices
+from tickloom.sources.writers import write_bar_files, write_bar_folders, write_features
 from tickloom_checks.fixtures import bars, supplier_bars, table, unmerged_bars
-from tickloom_checks.words import DATA_PIECES, PREDICTION_PIECES, TICKER_PIECES
+from tickloom_checks.words import DATA_PIECES, MANY_PIECES, PREDICTION_PIECES, PRIORITIES, TICKER_PIECES
 
 # Cuts every series of the test data, so that the long-series path is checked.
 CUT = SegmentLimits(max_rows=200, small_bytes=0)
@@ -184,31 +187,103 @@ def prediction_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bar_files(spark: SparkSession, sf: str) -> DataFrame:
-    """One CSV file per ticker in a flat directory, read back."""
-    rows = shape.rename_all(bars(spark, sf), schema.RAW_COLUMNS)
+    """CSV files per ticker in a flat directory, several for a long one, read back."""
     path = scratch_path(spark, "bar-files")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for i, (ticker,) in enumerate(latest.distinct_series(rows, "Ticker").collect()):
-        part = scratch_path(spark, "bar-file")
-        rows.filter(F.col("Ticker") == ticker).coalesce(1).write.option("header", True).csv(part)
-        files = hadoop.Path(part).getFileSystem(spark._jsc.hadoopConfiguration())
-        files.mkdirs(hadoop.Path(path))
-        files.rename(files.globStatus(hadoop.Path(f"{part}/part-*"))[0].getPath(), hadoop.Path(f"{path}/{i}_stock_data.csv"))
+    write_bar_files(shape.rename_all(bars(spark, sf), schema.RAW_COLUMNS), path, max_rows_per_file=1_000)
     return rounded(read_bar_files(spark, path))
 
 
+def bar_file_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per ticker by the manifest of the files, and that every file is named after its ticker."""
+    path = scratch_path(spark, "bar-files")
+    manifest = write_bar_files(shape.rename_all(bars(spark, sf), schema.RAW_COLUMNS), path, max_rows_per_file=1_000)
+    named = F.min(F.startswith("file", "series") & F.endswith("file", F.lit("_stock_data.csv"))).alias("named")
+    return manifest.groupBy(F.col("series").alias("ticker")).agg(F.sum("n_rows").alias("n_rows"), named)
+
+
+def vendor_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The bars as a vendor's wide table: a row per date, a column per price and ticker."""
+    first = [F.first(c.lower()).alias(c) for c in schema.PRICE_COLUMNS]
+    wide = bars(spark, sf).groupBy(F.col("date").alias("Date")).pivot("ticker", list(PRIORITIES)).agg(*first)
+    return wide.toDF("Date", *[f"{c}|{t}" for t in PRIORITIES for c in schema.PRICE_COLUMNS])
+
+
 def collect_preprocess(spark: SparkSession, sf: str) -> DataFrame:
-    """Vendor frames to CSV bars to the feature table, by the jobs."""
-    rows = bars(spark, sf)
-    frames = {
-        ticker: rows.filter(F.col("ticker") == ticker).select(F.col("date").alias("Date"), *[F.col(c.lower()).alias(c) for c in schema.PRICE_COLUMNS])
-        for (ticker,) in latest.distinct_series(rows).collect()
-    }
+    """A vendor's wide table to CSV bars to the feature table, by the jobs."""
     raw, path = scratch_path(spark, "collected"), scratch_path(spark, "features")
-    run_collection(spark, frames, raw)
+    run_collection(spark, vendor_table(spark, sf), raw)
     return rounded(run_preprocessing(spark, raw, path, layout="folders"))
 
 
+def _bucketed(spark: SparkSession, sf: str) -> str:
+    location = scratch_path(spark, "stock_buckets")
+    name = location.rsplit("/", 1)[-1].replace("-", "_")
+    bucketed_table(shape.serving_shape(feature_table(supplier_bars(spark, sf))), name, location, rows_per_bucket=10_000)
+    return name
+
+
+def bucketed_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest values of every supplier from the bucketed table, without a shuffle."""
+    return rounded(latest_prices(spark, _bucketed(spark, sf)))
+
+
+def bucketed_average(spark: SparkSession, sf: str) -> DataFrame:
+    """A window per supplier over the bucketed table, without a shuffle."""
+    rows = ind.moving_averages(spark.table(_bucketed(spark, sf)).drop("ma_7"), windows=[7])
+    return rounded(rows, "ticker", "date", "ma_7")
+
+
+def kept_stock_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest rows of a ticker, stored by the first call and read by the second."""
+    name, _ = _loaded_table(spark, sf)
+    kept_stock_data(spark, ONE, 30, name)
+    return rounded(kept_stock_data(spark, ONE, 30, name))
+
+
+def gbt_forecast_many(spark: SparkSession, sf: str) -> DataFrame:
+    """A model for every supplier in the same jobs."""
+    rows = forecasting.training_rows(settle(feature_table(settle(supplier_bars(spark, sf))), "features"))
+    return _what_must_hold(forecasting.train_many(rows)[1])
+
+
+def many_model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Saved and loaded models of all series predict as the fitted ones, row for row."""
+    p = TreeParams(trees=5)
+    rows = forecasting.lag_arrays(forecasting.training_rows(bars_as_features(spark, sf)))
+    models = fit_many(rows.filter(F.col("split") == "train"), params=p)
+    path = scratch_path(spark, "gbt-many")
+    models.write.parquet(path)
+    tested = rows.filter(F.col("split") == "test")
+    return _same_predictions(predict_many(models, tested, params=p), predict_many(spark.read.parquet(path), tested, params=p), ["ticker", "row_num"])
+
+
+def forecaster_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A saved and loaded forecaster of each of two series predicts as the fitted one, row for row."""
+    rows = forecasting.training_rows(bars_as_features(spark, sf))
+    directory = scratch_path(spark, "forecasters")
+    out = []
+    for value, model, _ in forecasting.train_per_series(rows, values=[ONE, "5-LOW"], model_directory=directory, maxIter=3):
+        tested = rows.filter((F.col("ticker") == value) & (F.col("split") == "test")).select("ticker", "row_num", "features_raw", "target")
+        loaded = models.load_model(f"{directory}/gbt_{value}")
+        out.append(_same_predictions(model.transform(tested), loaded.transform(tested), ["ticker", "row_num"]))
+    return latest.concatenate(out)
+
+
+def classifier_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A saved and loaded classifier gives every row the grade and confidence of the fitted one."""
+    rows, model, _ = _classified(spark, sf)
+    path = scratch_path(spark, "grades")
+    models.save_model(model, path)
+    graded = [models.predict_grades(m, rows).withColumn("prediction", F.to_json(F.struct("predicted_label", "confidence"))) for m in (model, models.load_model(path))]
+    return _same_predictions(*graded, ["ticker", "date"])
+
+
+def _same_predictions(fitted: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
+    """Per series the rows that both predict, and whether all predictions are equal."""
+    pairs = fitted.select(*keys, F.col("prediction").alias("a")).join(loaded.select(*keys, F.col("prediction").alias("b")), keys, "full")
+    return pairs.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), F.min(F.coalesce(F.col("a") == F.col("b"), F.lit(False))).alias("equal"))
+
+
 def whole_page(spark: SparkSession, sf: str) -> DataFrame:
     """The page with the grades that scores give, as certain ones."""
     rows = labelled(spark, sf)
@@ -260,6 +335,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_rows_one_series": lambda s, d: rounded(latest.last_rows_of(features(s, d), ONE, 30, ascending=True)),
         "series_history": lambda s, d: rounded(latest.series_rows(features(s, d), ONE)),
         "ordered_table": lambda s, d: rounded(latest.ordered_table(features(s, d))),
+        "numbered_table": lambda s, d: rounded(latest.numbered_table(features(s, d))),
+        "page_rows": lambda s, d: rounded(stock_page.page_rows(features(s, d))),
+        "sampled_split": lambda s, d: splits.sampled_split(labelled(s, d), ["ticker", "date"]).select("ticker", "date", "label", "split"),
         "recent_mean_return": lambda s, d: rounded(latest.recent_mean(features(s, d))),
         "distinct_series": lambda s, d: latest.distinct_series(bars(s, d)),
         "row_counts": lambda s, d: latest.row_count(bars(s, d)),
@@ -313,7 +391,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "vendor_frame": vendor_frame,
         "csv_roundtrip": csv_roundtrip,
+        "vendor_wide": lambda s, d: rounded(shape.normalise_vendor_wide(vendor_table(s, d))),
         "bar_files": bar_files,
+        "bar_file_manifest": bar_file_manifest,
+        "bucketed_latest": bucketed_latest,
+        "bucketed_average": bucketed_average,
+        "kept_stock_rows": kept_stock_rows,
+        "message_tickers_many": lambda s, d: table(s, d, "conversations").select(
+            "conv_id", "turn", mentioned_ticker(F.col("text"), MANY_PIECES).alias("ticker")
+        ),
+        "gbt_forecast_many": gbt_forecast_many,
+        "many_model_roundtrip": many_model_roundtrip,
+        "forecaster_roundtrip": forecaster_roundtrip,
+        "classifier_roundtrip": classifier_roundtrip,
         "collect_preprocess": collect_preprocess,
         "parquet_roundtrip": parquet_roundtrip,
         "table_roundtrip": table_roundtrip,

@@ -5,3 +5,7 @@ ticker and keyword lists, which hardly do."""
 TICKER_PIECES = ("los", "ber", "que")
 PREDICTION_PIECES = ("what", "und")
 DATA_PIECES = ("est", "data")
+# The tickers of the test bars.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+# Ten thousand tickers by a rule, most of which occur nowhere.
+MANY_PIECES = tuple(f"{a}{b}{c}{d}".upper() for a in "qxzvjkwygf" for b in "eaioubtnrs" for c in "abcdeghimo" for d in "lmnrstuwyz")
