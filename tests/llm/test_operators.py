@@ -370,6 +370,32 @@ def test_surrogates_collide_never(spark):
     assert len({r.text for r in got}) == len(rows)
 
 
+def test_masked_and_foreign_secrets_get_surrogates(spark):
+    rows = ["password: ********", "pwd=парольчик", "token=......", "secret: ΑΒΓδεζ77", "api_key=密码密码密码密码", "password: ********", "password=-=-=-=-=", "passwd=пАРОЛЬ--12"]
+    got = {r.doc_id: r for r in pii.surrogates(frame(spark, list(enumerate(rows))), "k").collect()}
+    made = [got[i].text.split("=", 1)[1] if "=" in rows[i].split(":")[0] else got[i].text.split(": ", 1)[1] for i in range(len(rows))]
+    assert all(got[i].n_entities == 1 and m not in rows[i] for i, m in enumerate(made))
+    assert made[0] == made[5] and len(set(made)) == len(rows) - 1 and made[0].isalnum() and len(made[0]) == 8
+    assert all("а" <= c <= "я" for c in made[1]) and len(made[1]) == 9
+    assert made[3][-2:].isdigit() and made[3][:3].isupper() and all("α" <= c <= "ω" for c in made[3][3:6])
+    assert made[7][1:6].isupper() and made[7][6:8] == "--" and made[7][0].islower()
+
+
+@pytest.mark.parametrize("kind, values", [("secret", [f"{i:02d}" for i in range(100)]), ("ssn", [f"{i:03d}" for i in range(1000)]), ("ip", ["1.2.3.4"])])
+def test_full_forms_are_lengthened(spark, kind, values):
+    """All values of a form are entities, so no surrogate of that form is free."""
+    rows = spark.createDataFrame([(kind, v) for v in values], "kind string, canon string")
+    made = {r.canon: r.made for r in pii.mapping(rows, "k").collect()}
+    assert set(made) == set(values) and len(set(made.values())) == len(values) and not set(made.values()) & set(values)
+    assert kind == "ip" or all(m.isdigit() and len(m) > len(values[0]) for m in made.values())
+
+
+def test_lengthened_surrogates_stay_apart_in_the_text(spark):
+    made = [(r"1234", "1-2-3-4", "567890"), ("", "a", "")]
+    out = spark.createDataFrame([("ssn", v, m) for _, v, m in made], "kind string, value string, made string")
+    assert [r[0] for r in out.select(pii.in_format(F.col("kind"), F.col("value"), F.col("made"))).collect()] == ["5-6-7-890", ""]
+
+
 @needs_data
 def test_query_pii_leaves_no_entity(spark, corpus):
     import re

@@ -11,7 +11,9 @@ numbers that can be written in several ways, one word of a name.
    the gender of the ending.
 2. Collision check: of the entities that a surrogate has been made for twice, and of surrogates
    that are an entity of the corpus themselves, all but one try the next hash, until none is
-   left. So different entities stay different, and one entity is the same everywhere.
+   left. So different entities stay different, and one entity is the same everywhere. From
+   attempt `TAGGED` on a surrogate is lengthened by one more digit each time, so that entities
+   that fill their whole form (all six-digit tokens) find one, too.
 3. Texts are cut at the matches and put together with surrogates written in the format of
    each match. Name words found in a text are replaced in the rest of it, too.
 
@@ -58,7 +60,13 @@ PATTERNS = (
 )
 ANY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 LEAD = {"secret": f"^{SECRET}", "woman": rf"^(?:{TITLES_F})\.? ", "man": rf"^(?:{TITLES_M})\.? "}
-MOST_ROUNDS = 40
+TAGGED = 6
+#: Letters of a kind, by the class that a letter is in; the first that fits counts.
+ALPHABETS = (
+    (r"\p{IsCyrillic}&&\p{Lu}", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ"), (r"\p{IsCyrillic}", "абвгдежзиклмнопрстуфхцчшэюя"),
+    (r"\p{IsGreek}&&\p{Lu}", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"), (r"\p{IsGreek}", "αβγδεζηθικλμνξοπρστυφχψω"),
+    (r"\p{IsHan}", "山水火木金土日月田中大小上下人口"), (r"\p{Lu}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), (r"\p{L}", "abcdefghijklmnopqrstuvwxyz"), (r"\p{N}", "0123456789"),
+)
 DIGITS_ONLY = ("card", "phone", "ssn")
 LATIN = ("ba", "de", "fi", "go", "lu", "ma", "ne", "ri", "so", "tu", "va", "we", "ka", "le", "mi", "no")
 CYRILLIC = ("ба", "де", "фи", "го", "лу", "ма", "не", "ри", "со", "ту", "ва", "ви", "ка", "ле", "ми", "но")
@@ -80,17 +88,22 @@ def pick(letters: str, n: Column) -> Column:
 
 
 def alike(value: Column, stream: Column, hexa: Column | None = None) -> Column:
-    """Each letter or digit replaced by one of its kind."""
-    one = lambda c, i: (
-        F.when(F.lit(False) if hexa is None else hexa & c.rlike("[0-9a-f]"), pick("0123456789abcdef", byte(stream, i)))
-        .when(c.rlike("[0-9]"), pick("0123456789", byte(stream, i)))
-        .when(c.rlike("[a-z]"), pick("abcdefghijklmnopqrstuvwxyz", byte(stream, i)))
-        .when(c.rlike("[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", byte(stream, i)))
-        .otherwise(c)
-    )
+    """Each letter or digit replaced by one of its kind, in whatever script; signs stay."""
+    def one(c: Column, i: Column) -> Column:
+        n = byte(stream, i)
+        kinds = [F.when(c.rlike(f"[{kind}]"), pick(letters, n)) for kind, letters in ALPHABETS]
+        plain = F.coalesce(*kinds, c)
+        return plain if hexa is None else F.when(hexa & c.rlike("[0-9a-f]"), pick("0123456789abcdef", n)).otherwise(plain)
+
     return F.array_join(F.transform(chars(value), one), "")
 
 
+def generated(value: Column, stream: Column) -> Column:
+    """Letters and digits in place of a value that has none, such as a masked password."""
+    size = F.least(F.greatest(F.length(value), F.lit(8)), F.lit(128))
+    return F.array_join(F.transform(F.sequence(F.lit(1), size), lambda i: pick("abcdefghjkmnpqrstuvwxyz23456789", byte(stream, i))), "")
+
+
 def luhn(digits: Column, skip: int) -> Column:
     """The Luhn sum of a number whose last digits number `skip` are left out."""
     double = lambda d: F.when(d * 2 > 9, d * 2 - 9).otherwise(d * 2)
@@ -118,7 +131,7 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
     valid = luhn(value, 0) % 10 == 0
     card = F.concat(most, F.when(valid, check).otherwise(pick("0123456789", number(60))))
     hexa = (kind == "secret") & value.rlike("^[0-9a-f]+$") & value.rlike("[a-f]")
-    return (
+    first = (
         F.when(kind == "email", email)
         .when(kind == "ip", address)
         .when(kind == "card", card)
@@ -126,8 +139,12 @@ def surrogate(kind: Column, value: Column, attempt: Column, key: str) -> Column:
         .when(kind == "cloud_key", F.concat(F.lit("AKIA"), alike(F.substring(value, F.lit(5), size), stream)))
         .when(kind == "iban", F.concat(F.substring(value, 1, 2), alike(F.substring(value, F.lit(3), size), stream)))
         .when(kind.startswith("given") | kind.startswith("surname"), made_name(kind, value, stream, attempt))
-        .otherwise(alike(value, stream, hexa))
+        .when(value.rlike(r"[\p{L}\p{N}]"), alike(value, stream, hexa))
+        .otherwise(generated(value, stream))
     )
+    # One more digit with each attempt: a tenth of the clashes at most is left each time.
+    digits = F.substring(F.translate(stream, "abcdef", "012345"), F.lit(200), attempt - (TAGGED - 1))
+    return F.when(attempt < TAGGED, first).when(kind == "email", F.concat(digits, first)).when(kind == "ip", F.concat(first, F.lit(":"), digits)).otherwise(F.concat(first, digits))
 
 
 def parts_of(match: Column) -> Column:
@@ -147,7 +164,9 @@ def parts_of(match: Column) -> Column:
 def in_format(kind: Column, value: Column, made: Column) -> Column:
     """A surrogate's characters in the places that the entity's have in the text."""
     step = lambda acc, c: F.when(c.rlike("[0-9A-Za-z]"), F.struct(F.concat(acc["s"], F.substring(made, acc["i"], F.lit(1))).alias("s"), (acc["i"] + 1).alias("i"))).otherwise(F.struct(F.concat(acc["s"], c).alias("s"), acc["i"].alias("i")))
-    spread = F.aggregate(chars(value), F.struct(F.lit("").alias("s"), F.lit(1).alias("i")), step, lambda acc: acc["s"])
+    # What a lengthened surrogate has beyond the places comes last.
+    rest = lambda acc: F.concat(acc["s"], F.substring(made, acc["i"], F.length(made)))
+    spread = F.aggregate(chars(value), F.struct(F.lit("").alias("s"), F.lit(1).alias("i")), step, rest)
     return F.when(kind.isin(*DIGITS_ONLY, "iban"), spread).otherwise(made)
 
 
@@ -157,13 +176,14 @@ def row_key(row_id: Column, text: Column) -> Column:
 
 def mapping(entities: DataFrame, key: str) -> DataFrame:
     """A surrogate for each distinct `kind`, `canon`. Rounds end when no two agree; each round
-    decides all surrogates that came up once, so few entities go on."""
+    decides all surrogates that came up once, so few entities go on. They do end, as the forms
+    grow with the attempts."""
     made = lambda rows: rows.withColumn("made", surrogate(F.col("kind"), F.col("canon"), F.col("attempt"), key))
     family = F.regexp_replace("kind", "_.$", "")
     entities = stage(entities.select("kind", "canon").distinct(), "entities")
     taken = entities.select(family.alias("family"), F.col("canon").alias("made"))
     settled, open_ = None, entities.withColumn("attempt", F.lit(0))
-    for _ in range(MOST_ROUNDS):
+    while True:
         tried = made(open_).withColumn("family", family)
         nth = Window.partitionBy("family", "made").orderBy("kind", "canon")
         tried = stage(tried.withColumn("nth", F.row_number().over(nth)), "tried")
@@ -172,8 +192,7 @@ def mapping(entities: DataFrame, key: str) -> DataFrame:
         open_ = tried.join(settled, ["kind", "canon"], "left_anti").select("kind", "canon", (F.col("attempt") + 1).alias("attempt"))
         if open_.isEmpty():
             return settled
-        taken = taken.union(good.select("family", "made"))
-    raise ValueError("too many entities of one format to tell their surrogates apart")
+        taken = stage(taken.union(good.select("family", "made")), "taken")
 
 
 def surrogates(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
