@@ -57,6 +57,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the quality policy does by itself, from the ledger of all documents."""
+    rows, name = quality_rules.ledger(documents(spark, sf_dir), ["doc_id"])
+    return quality_rules.ablations(rows, F.col(name)["failed"], "v1")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir))
 
@@ -98,4 +104,4 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {name: job for name, job in globals().items() if name.startswith("op")}
+    return {name: job for name, job in globals().items() if name.startswith("op")} | {"quality_ablations": quality_ablations}

@@ -33,6 +33,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+QUALITY_ABLATIONS = QUALITY_RULES[: QUALITY_RULES.rindex("SELECT doc_id, n_words")] + r"""
+, bits AS (
+    SELECT (n_words < 10)::INT AS few_words, (100 * n_repeat_words > 20 * n_words)::INT AS repeated_words,
+        (100 * n_symbols > 10 * word_chars)::INT AS symbols, (100 * n_dup_lines > 30 * n_lines)::INT AS repeated_lines,
+        (word_chars < 2 * n_words)::INT AS short_words, (word_chars > 15 * n_words)::INT AS long_words
+    FROM f
+), rules AS (
+    SELECT unnest(['few_words', 'repeated_words', 'symbols', 'repeated_lines', 'short_words', 'long_words']) AS rule,
+        unnest([few_words, repeated_words, symbols, repeated_lines, short_words, long_words]) AS failed,
+        few_words + repeated_words + symbols + repeated_lines + short_words + long_words AS n
+    FROM bits
+)
+SELECT rule, sum(failed)::BIGINT AS n_failed, count(*) FILTER (failed = 1 AND n = 1)::BIGINT AS n_failed_alone,
+    count(*) FILTER (n > 0)::BIGINT AS n_rejected
+FROM rules GROUP BY rule
+"""
+
 EXACT_DEDUP = r"""
 WITH d AS (
     SELECT doc_id, length(coalesce(text, '')) AS points,
@@ -264,6 +281,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_substring_dedup": SUBSTRING_DEDUP,
         "op5_exact_dedup": EXACT_DEDUP,
         "op6_quality_rules": QUALITY_RULES,
+        "quality_ablations": QUALITY_ABLATIONS,
         "op8_source_mix": SOURCE_MIX,
         "op11_prefix_trie": PREFIX_TRIE,
         "op12_url_filter": URL_FILTER,
