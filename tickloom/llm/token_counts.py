@@ -7,7 +7,8 @@ pair in all sequences at once; a sequence without a mergeable pair leaves the ar
 and the symbols it still has are its tokens.
 
 Null and empty texts have 0 bytes and 0 tokens. Strings of added tokens in a text count
-as one token each, as the tokenizers library does by default. Rows are independent:
+as one token each, as the tokenizers library does by default. What is a letter or a number is
+taken from the library, whose Unicode tables may be older than those here. Rows are independent:
 repeated rows and null ids come out as they went in, and columns other than id and text
 are not read.
 """
@@ -23,6 +24,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tickloom.llm.textual import slices
 
@@ -40,6 +42,27 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(other)) for b in range(256)]
 
 
+def newer_letters() -> str:
+    """The characters that are letters or numbers here and not in the library, whose Unicode tables are older: it is asked
+    for each whether it goes on a word or a number. Empty if the tables agree."""
+    every = "".join(chr(i) for i in range(0x80, 0x110000) if not 0xD800 <= i < 0xE000)
+    found = []
+    for kind, before in ((r"\p{L}", "a"), (r"\p{N}", "1")):
+        asked = regex.findall(kind, every)
+        text = "".join(f" {before}{c}" for c in asked)
+        begun = {start for _, (start, _) in ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str(text)}
+        found += [c for i, c in enumerate(asked) if 3 * i + 2 in begun]
+    return "".join(sorted(found))
+
+
+def older_pattern(newer: str) -> str:
+    """`PATTERN` with classes that leave out the newer letters and numbers."""
+    out = PATTERN.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\p{L}\p{N}]|[NEWER])")
+    for kind in (r"\p{L}+", r"\p{N}+"):
+        out = out.replace(f" ?{kind}", f" ?(?:(?![NEWER]){kind[:-1]})+")
+    return out.replace("[NEWER]", f"[{regex.escape(newer)}]")
+
+
 class Merges:
     """A vocabulary's merges as sorted pair keys with their ranks."""
 
@@ -99,9 +122,11 @@ class Merges:
         return counts
 
 
-def counted(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:
+def counted(batches: Iterator[pa.RecordBatch], vocabulary: str, newer: str = "") -> Iterator[pa.RecordBatch]:
     merges = Merges(json.loads(vocabulary))
     cut = regex.compile(PATTERN)
+    # The exact classes are slow, and needed only where such a letter occurs.
+    exact, rare = (regex.compile(older_pattern(newer)), regex.compile(f"[{regex.escape(newer)}]")) if newer else (cut, None)
     added = regex.compile("|".join(map(regex.escape, sorted(merges.added, key=len, reverse=True)))) if merges.added else None
     known: dict[str, int] = {}
     for batch in slices(batches, 1, SLICE):
@@ -109,7 +134,8 @@ def counted(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.R
         for text in batch.column(1).to_pylist():
             parts = added.split(text or "") if added else [text or ""]
             specials.append(len(parts) - 1)
-            pieces.append(cut.findall(parts[0]) if len(parts) == 1 else [x for part in parts for x in cut.findall(part)])
+            way = exact if rare and text and not text.isascii() and rare.search(text) else cut
+            pieces.append(way.findall(parts[0]) if len(parts) == 1 else [x for part in parts for x in way.findall(part)])
         if len(known) > CACHE:
             known.clear()
         new = list(set().union(*pieces).difference(known))
@@ -131,5 +157,6 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
         vocabulary = file.read()
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(lambda batches: counted(batches, vocabulary), f"id {kind}, n_bytes long, n_tokens long")
+    newer = newer_letters()
+    out = rows.mapInArrow(lambda batches: counted(batches, vocabulary, newer), f"id {kind}, n_bytes long, n_tokens long")
     return out.withColumnRenamed("id", id_col)
