@@ -40,6 +40,8 @@ NORMAL, UNKNOWN, BYTE = 1, 2, 6
 CACHE = 300_000
 SLICE = 4 << 20  # bytes of text whose new words advance together
 LONG = 48
+BEGIN = np.uint64(44)  # of a hash, all but the first 20 bits
+PAIR_BITS = 18  # of the table of verdicts on pairs
 ALONE = 1_000
 NEVER = np.int32(1 << 30)
 #: Fixed value: what an unknown character costs below the worst piece of a unigram model.
@@ -95,6 +97,9 @@ class Pieces:
         self.ids = dict(zip(texts, normal, strict=True))
         order = np.argsort(keys := np.array([text_hash(x) for x in texts], np.uint64))
         self.keys, self.key_ids = keys[order], np.array(normal, np.int64)[order]
+        self.begun = np.zeros(1 << 20, bool)
+        self.begun[(self.keys >> BEGIN).astype(np.int64)] = True
+        self.verdicts: np.ndarray | None = None
         inner = any(SPACE in x.lstrip(SPACE) for x in texts)
         line = any("\n" in x for x in texts)
         self.cut = re.compile(r"(?s).+" if inner else (f"{SPACE}*[^{SPACE}]+|{SPACE}+" if line else f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"))
@@ -138,11 +143,28 @@ class Pieces:
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        """The piece of each hash, or -1."""
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return np.where(self.keys[at] == hashes, self.key_ids[at], -1)
+        """The piece of each hash, or -1. Most substrings are no piece, which the first bits of the hash tell."""
+        out = np.full(len(hashes), -1, np.int64)
+        some = np.flatnonzero(self.begun[(hashes >> BEGIN).astype(np.int64)])
+        probed = hashes[some]
+        at = np.minimum(np.searchsorted(self.keys, probed), len(self.keys) - 1)
+        out[some] = np.where(self.keys[at] == probed, self.key_ids[at], -1)
+        return out
 
     def apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether two neighbouring pieces stay apart. Verdicts are remembered in one place per hash of a pair."""
+        if self.verdicts is None:
+            self.verdicts = np.full(1 << PAIR_BITS, -1, np.int64)
+        pairs = left.astype(np.int64) << 21 | right
+        places = ((pairs.view(np.uint64) * ODD) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        known = self.verdicts[places]
+        new = np.flatnonzero(known >> 1 != pairs)
+        if len(new):
+            known[new] = pairs[new] << 1 | self.followed(left[new], right[new])
+            self.verdicts[places[new]] = known[new]
+        return (known & 1).astype(bool)
+
+    def followed(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether two neighbouring pieces stay apart: followed merge by merge, the symbols at
         their edges grow until a merge across comes first, or none is left."""
         verdict = np.ones(len(left), bool)
