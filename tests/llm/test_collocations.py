@@ -6,6 +6,8 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from tickloom.llm import collocations
@@ -67,7 +69,7 @@ def test_equals_plain_counting(spark):
     assert query(spark, rows) == plain(rows)
 
 
-@pytest.mark.parametrize("more", [{"max_words": 4, "min_count": 3}, {"max_words": 2}, {"top": 3}, {"inside_percent": 90, "min_count": 20}])
+@pytest.mark.parametrize("more", [{"max_words": 4, "min_count": 3}, {"max_words": 2, "top": 3}])
 def test_other_parameters(spark, more):
     rows = some_rows()[:140]
     named = {"percent" if x == "inside_percent" else x: v for x, v in more.items()}
@@ -76,33 +78,61 @@ def test_other_parameters(spark, more):
 
 def test_several_shards_and_full_slots(spark, monkeypatch):
     """Words and candidates in shards of five; so few slots that every candidate passes them."""
-    monkeypatch.setattr(collocations, "SHARD", 5)
-    monkeypatch.setattr(collocations, "RANGE", 100)
-    monkeypatch.setattr(collocations, "HELD", 10)
-    rows = some_rows()[:60]
-    assert query(spark, rows, bits=2, min_count=4) == plain(rows, min_count=4)
+    monkeypatch.setattr(collocations, "WORD_SHARD", 5)
+    monkeypatch.setattr(collocations, "EDGE_SHARD", 5)
+    rows = some_rows()[:25]
+    assert query(spark, rows, bits=2, min_count=8, max_words=4) == plain(rows, min_count=8, max_words=4)
 
 
 def test_words_that_share_a_hash(spark, monkeypatch):
-    """The first salt gives all words of a length one key; the next ones do not."""
-    usual = collocations.hashes
+    """The first salt gives all words of a length one key, so the next one is taken."""
+    usual = collocations.count_words
 
-    def poor(data, starts, ends, salt):
-        return (ends - starts).astype(np.uint64) if salt == 0 else usual(data, starts, ends, salt)
+    def poor(batches, salt):
+        for out in usual(batches, salt):
+            yield out if salt else out.set_column(2, "key", pc.binary_length(out.column(1)).cast(pa.int64()))
 
-    monkeypatch.setattr(collocations, "hashes", poor)
-    keys = collocations.frequent_words
+    monkeypatch.setattr(collocations, "count_words", poor)
     rows = some_rows()[:40]
     frame = spark.createDataFrame([(x[2] or "und", x[1]) for x in rows], "lang string, text string")
-    words, _, salt = keys(frame, 1)
-    assert salt in (0, 1) and words.groupBy("key").count().where("count > 1").isEmpty()
-    assert query(spark, rows, min_count=3) == plain(rows, min_count=3)
+    words, _, salt = collocations.frequent_words(frame, 1)
+    assert salt == 1 and words.groupBy("key").count().where("count > 1").isEmpty()
+    assert sorted(r.word for r in words.collect() if r.lang == "en") == sorted({w for _, t, lang in rows if lang == "en" for w in re.findall(r"[^ \t\n\r.,!]+", t.lower())})
+
+
+def test_small_pieces_and_batches(monkeypatch):
+    """Inside a task: words in short rows, worked on few at a time, give the counts and states of whole ones."""
+    rows = some_rows()[:-2]
+    batch = pa.RecordBatch.from_arrays([pa.array([x[2] or "und" for x in rows]), pa.array([x[1] for x in rows], pa.string())], ["lang", "text"])
+    (counted,) = collocations.count_words(iter([batch]), 0)
+    known = type("Known", (), {"value": np.sort(counted.column(2).to_numpy())})
+    found = []
+    for piece, gathered, bytes_ in ((1 << 12, 1 << 18, 1 << 19), (7, 50, 30)):
+        for name, value in (("PIECE", piece), ("GATHERED", gathered), ("RANGE", bytes_), ("HELD", 20)):
+            monkeypatch.setattr(collocations, name, value)
+        both = lambda passed: [x.select(["ids", "states"]) for x in passed]
+        corpus, out = list(collocations.numbered(iter([batch]), 0, known, 0)), []
+        for k in (2, 3, 4):
+            edges, n = np.unique(np.concatenate([collocations.edges_of(i, s, k)[1] for i, s in collocations.stretches(iter(both(corpus)))]), return_counts=True)
+            full = type("Full", (), {"value": np.full(8, 255, np.uint8)})
+            assert set(np.concatenate([x.column(0).to_numpy() for x in collocations.distinct_edges(iter(both(corpus)), k, 6, full)]).tolist()) == set(edges.tolist())
+            edges = edges[n >= 2]
+            trie = type("Shared", (), {"value": build(edges)})
+            (counts,) = collocations.count_edges(iter(both(corpus)), k, trie, 0, len(edges))
+            assert counts.column(1).to_pylist() == n[n >= 2].tolist()
+            # In two shards, of which the second leaves the old states out.
+            half, tries = len(edges) // 2, [type("Shared", (), {"value": build(x)}) for x in (edges[: len(edges) // 2], edges[len(edges) // 2 :])]
+            corpus = list(collocations.advance(iter(corpus), k, tries[0], 0, False))
+            corpus = list(collocations.advance(iter(corpus), k, tries[1], half, True))
+            assert piece > 100 or max(len(x) for c in corpus for x in c.column(0).to_pylist()) < 4 * 2000
+            out.append((edges.tolist(), n.tolist()))
+        found.append(out)
+    assert found[0] == found[1]
 
 
 def test_empty_tables(spark):
     assert query(spark, []) == []
-    assert query(spark, [(1, "", "en"), (2, None, None)]) == []
-    assert query(spark, [(1, "one two", "en")]) == []
+    assert query(spark, [(1, "", "en"), (2, None, None), (3, "one two", "en")]) == []
 
 
 def test_scores_are_exact_beyond_64_bits(spark):

@@ -8,14 +8,16 @@ Texts are lower-cased (A-Z) and cut into pieces at `[.,;:!?\\x0A-\\x0D]`; words
 2. Level by level, for phrases of k words: where both phrases of k - 1 words are frequent, the
    occurrence falls into one of `2**bits` slots by its hash. A phrase whose slot counts less than
    `min_count` cannot be frequent; the others are the candidates, a superset of the frequent ones.
-3. Candidates, `SHARD` to a shard, become double-array tries that are broadcast. All positions of a
+3. Candidates, `EDGE_SHARD` to a shard, become double-array tries that are broadcast. All positions of a
    batch advance their states together, accepting states are counted by bincount, and counts are
-   summed over all tasks. States are kept with the text for the next level.
+   summed over all tasks. The tries of the frequent ones then give every position its state for the
+   next level, where only stretches of text that are in such states are kept.
 4. Scores, cuts and the rule on longer candidates are joins over the phrases found.
 
-What is broadcast is bounded: `SHARD` keys of words or edges of a trie at a time (further shards
-take further passes), `2**MOST_BITS` bits of slots, and one bit per candidate. Large corpora fill
-the slots, which weakens the filter but never drops a phrase: then more candidates are counted.
+What is broadcast is bounded: `WORD_SHARD` keys of words or `EDGE_SHARD` edges at a time, and
+`2**MOST_BITS` bits of slots. Each further shard takes a further pass over the numbered corpus, so
+`min_count` should grow with the corpus. Large corpora fill the slots, which weakens the filter but
+never drops a phrase: then more candidates are counted.
 
 Words are known by 64-bit hashes while counting; the table of all words (told apart by a second hash
 within a batch) is checked for two that share one, and if there are any, everything is hashed anew.
@@ -29,11 +31,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -42,12 +45,16 @@ from tickloom.llm.textual import LOWER, ODD, flat, mix, slices, span_hashes
 from tickloom.operators.positions import add_positions
 from tickloom.session import stage
 
-SHARD = 1_000_000
+WORD_SHARD = 4_000_000
+EDGE_SHARD = 500_000
 MOST_BITS = 26
-RANGE = 4 << 20
-SLICE = 4 << 20
+RANGE = 1 << 19
+SLICE = 1 << 20
+TEXTS_AT_ONCE = 1_000  # rows of a batch of texts; Spark's own number makes large batches of long texts
 BLOCK = 1 << 16
-HELD = 4_000_000  # distinct phrases that a task gathers before it hands them on
+PIECE = 1 << 12  # words of a row of the numbered corpus; Parquet holds a hundred rows or more at once
+GATHERED = 1 << 18  # words that are worked on at once
+HELD = 1_000_000  # distinct phrases that a task gathers before it hands them on
 NO_LANGUAGE = "und"
 PROOF = 1_000_000  # salt of the hash that proves a key, apart from the salts of keys
 
@@ -121,21 +128,36 @@ def look_up(keys: np.ndarray, known: np.ndarray, first: int, ids: np.ndarray) ->
 
 
 def with_breaks(ids: np.ndarray, joined: np.ndarray) -> np.ndarray:
-    """Word numbers with -1 between words of different pieces; runs of -1 become one."""
-    ids = np.insert(ids, np.flatnonzero(~joined), np.int32(-1))
+    """Word numbers with -1 between words of different pieces and at the end; runs of -1 become one."""
+    ids = np.append(np.insert(ids, np.flatnonzero(~joined), np.int32(-1)), np.int32(-1))
     return ids[(ids >= 0) | (np.concatenate(([0], ids[:-1])) >= 0)]
 
 
+def pieces(ids: np.ndarray, states: np.ndarray | None, k: int, after: np.ndarray | None = None) -> pa.RecordBatch:
+    """Rows of about `PIECE` words; `states` are those of phrases of `k` words (None: words), `after` the next ones as far as
+    they are known. A cut lies where no phrase of a word more than `k` goes across."""
+    marks, dead = (ids if states is None else states) >= 0, np.ones(len(ids), bool)
+    for i in range(max(1, k - 1)):
+        dead[i:] &= ~marks[: len(ids) - i]
+    places, ends = np.flatnonzero(dead) + 1, [0]
+    while ends[-1] < len(ids):
+        at = int(np.searchsorted(places, ends[-1] + PIECE))
+        ends.append(int(places[at]) if at < len(places) else len(ids))
+    spans = list(zip(ends[:-1], ends[1:]))
+    cut = [pa.nulls(len(spans), pa.binary()) if x is None else blobs([x[a:b] for a, b in spans]) for x in (ids, states, after)]
+    return pa.RecordBatch.from_arrays(cut, ["ids", "states", "next"])
+
+
 def numbered(batches: Iterator[pa.RecordBatch], salt: int, shared, first: int) -> Iterator[pa.RecordBatch]:
     """The words of each slice by number, where `shared` holds all their keys."""
     for batch in slices(batches, 1, SLICE):
         _, _, _, (keys,), _, joined = words_of(batch.column(1), batch.column(0), salt)
-        yield pa.RecordBatch.from_arrays([blobs([with_breaks(look_up(keys, shared.value, first, np.full(len(keys), -1, np.int32)), joined)])], ["ids"])
+        yield pieces(with_breaks(look_up(keys, shared.value, first, np.full(len(keys), -1, np.int32)), joined), None, 1)
 
 
 def keyed(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[pa.RecordBatch]:
-    """The keys of each slice, to be numbered by several shards."""
-    for batch in slices(batches, 1, SLICE):
+    """The keys of each small slice, to be numbered by several shards."""
+    for batch in slices(batches, 1, SLICE // 16):
         _, _, _, (keys,), _, joined = words_of(batch.column(1), batch.column(0), salt)
         yield pa.RecordBatch.from_arrays([blobs([keys]), blobs([joined]), blobs([np.full(len(keys), -1, np.int32)])], ["keys", "joined", "ids"])
 
@@ -145,36 +167,53 @@ def numbered_further(batches: Iterator[pa.RecordBatch], shared, first: int, last
         for keys, joined, ids in zip(*(x.to_pylist() for x in batch.columns)):
             found = look_up(np.frombuffer(keys, np.int64), shared.value, first, np.frombuffer(ids, np.int32))
             if last:
-                yield pa.RecordBatch.from_arrays([blobs([with_breaks(found, np.frombuffer(joined, bool))])], ["ids"])
+                yield pieces(with_breaks(found, np.frombuffer(joined, bool)), None, 1)
             else:
                 yield pa.RecordBatch.from_arrays([pa.array([keys], pa.binary()), pa.array([joined], pa.binary()), blobs([found])], ["keys", "joined", "ids"])
 
 
-def edges_of(ids: np.ndarray, states: np.ndarray, k: int, alive) -> tuple[np.ndarray, np.ndarray]:
+def edges_of(ids: np.ndarray, states: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions whose phrase of `k` words may be frequent, as both of `k` - 1 words within it are, and the
-    phrase as an edge. `alive` has a bit for each state that is frequent (None: all are)."""
-    if alive is not None:
-        states = np.where((states >= 0) & (alive[states >> 3] >> (states & 7) & 1 > 0), states, -1)
+    phrase as an edge from the state of the first of them."""
     at = np.flatnonzero((states[:-1] >= 0) & (states[1:] >= 0))
     return at, states[at].astype(np.int64) << 32 | ids[at + k - 1]
 
 
-def texts_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def texts_in(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray | None]]:
+    """The blobs of rows as arrays, those of about `GATHERED` words together: rows end where no phrase goes on. Null blobs
+    give None."""
+    held, size = [], 0
+
+    def together():
+        return [None if x[0] is None else np.concatenate(x) for x in zip(*held)]
+
     for batch in batches:
-        for row in zip(*(x.to_pylist() for x in batch.columns)):
-            yield tuple(np.frombuffer(x, np.int32) for x in row)
+        for i in range(batch.num_rows):
+            held.append([np.frombuffer(x.as_buffer(), np.int32) if x.is_valid else None for x in (c[i] for c in batch.columns)])
+            size += len(held[-1][0])
+            if size >= GATHERED:
+                yield together()
+                held, size = [], 0
+    if held:
+        yield together()
+
+
+def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word numbers and states; on the first level a word is its own state."""
+    for ids, states in texts_in(batches):
+        yield ids, ids if states is None else states
 
 
 def slot_of(edges: np.ndarray, bits: int) -> np.ndarray:
     return (mix(edges.view(np.uint64) * ODD) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def count_slots(batches: Iterator[pa.RecordBatch], k: int, alive, bits: int, most: int) -> Iterator[pa.RecordBatch]:
+def count_slots(batches: Iterator[pa.RecordBatch], k: int, bits: int, most: int) -> Iterator[pa.RecordBatch]:
     """How often each slot is met in this task, up to `most`, in blocks: as bytes, or as places and bytes of
     slots that are met at all, whichever is shorter."""
     table = None
-    for ids, states in texts_in(batches):
-        _, edges = edges_of(ids, states, k, alive.value if alive else None)
+    for ids, states in stretches(batches):
+        _, edges = edges_of(ids, states, k)
         table = np.zeros(1 << bits, np.uint8) if table is None else table
         slots, n = np.unique(slot_of(edges, bits), return_counts=True)
         table[slots] = np.minimum(table[slots] + n, most)
@@ -211,51 +250,51 @@ def merge_slots(batches: Iterator[pa.RecordBatch], width: int, most: int) -> Ite
         yield bits()
 
 
-def distinct_edges(batches: Iterator[pa.RecordBatch], k: int, alive, bits: int, full) -> Iterator[pa.RecordBatch]:
+def distinct_edges(batches: Iterator[pa.RecordBatch], k: int, bits: int, full) -> Iterator[pa.RecordBatch]:
     """The phrases of this task whose slots are full."""
-    gathered, size, grown = [], 0, 0
-    out = lambda: pa.RecordBatch.from_arrays([pa.array(reduce(np.union1d, gathered))], ["edge"])
-    for ids, states in texts_in(batches):
-        _, edges = edges_of(ids, states, k, alive.value if alive else None)
-        edges = np.unique(edges)
+    held, fresh, size = np.zeros(0, np.int64), [], 0
+    for ids, states in stretches(batches):
+        edges = np.unique(edges_of(ids, states, k)[1])
         slots = slot_of(edges, bits)
-        gathered.append(edges[full.value[slots >> 3] >> (slots & 7).astype(np.uint8) & 1 > 0])
-        size += len(gathered[-1])
-        if size - grown > HELD:
-            gathered = [np.unique(np.concatenate(gathered))]
-            size = grown = len(gathered[0])
-            if size > HELD:
-                yield out()
-                gathered, size, grown = [], 0, 0
-    if size:
-        gathered = [np.unique(np.concatenate(gathered))]
-        yield out()
-
-
-def advance(batches: Iterator[pa.RecordBatch], k: int, alive, shared, first: int, size: int, keep: bool) -> Iterator[pa.RecordBatch]:
-    """Walks the trie of one shard from all positions: their new states (with `keep`), then the counts."""
+        fresh.append(edges[full.value[slots >> 3] >> (slots & 7).astype(np.uint8) & 1 > 0])
+        size += len(fresh[-1])
+        if size > HELD:
+            held, fresh, size = np.unique(np.concatenate([held, *fresh])), [], 0
+            if len(held) > HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(held)], ["edge"])
+                held = held[:0]
+    yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate([held, *fresh])))], ["edge"])
+
+
+def count_edges(batches: Iterator[pa.RecordBatch], k: int, shared, first: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Walks the trie of one shard from all positions and counts where they arrive."""
     counts = np.zeros(size, np.int64)
-    names = ["ids", "states", "next", "gram", "n"]
-    for ids, states, after in texts_in(batches):
-        at, edges = edges_of(ids, states, k, alive.value if alive else None)
+    for ids, states in stretches(batches):
+        _, edges = edges_of(ids, states, k)
         found = shared.value.find(edges >> 32, edges & 0xFFFFFFFF)
-        hit = found >= 0
-        counts += np.bincount(found[hit], minlength=size)
-        if keep:
-            after = after.copy() if len(after) else np.full(len(ids), -1, np.int32)
-            after[at[hit]] = first + found[hit]
-            yield pa.RecordBatch.from_arrays([*(blobs([x]) for x in (ids, states, after)), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], names)
+        counts += np.bincount(found[found >= 0], minlength=size)
     met = np.flatnonzero(counts)
-    empty = [pa.nulls(len(met), pa.binary())] * 3
-    yield pa.RecordBatch.from_arrays([*empty, pa.array(first + met), pa.array(counts[met])], names)
+    yield pa.RecordBatch.from_arrays([pa.array(first + met), pa.array(counts[met])], ["place", "n"])
 
 
-def pack_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block, places in zip(*(x.to_pylist() for x in batch.columns)):
-            marks = np.zeros(BLOCK, bool)
-            marks[places] = True
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), blobs([np.packbits(marks, bitorder="little")])], ["block", "bits"])
+def advance(batches: Iterator[pa.RecordBatch], k: int, shared, first: int, last: bool) -> Iterator[pa.RecordBatch]:
+    """The state of every position that the trie of a shard of frequent phrases accepts. After the `last` shard
+    the old states go, and so do the words that no phrase in a state holds; a word without a state is left
+    after each stretch."""
+    for ids, states, after in texts_in(batches):
+        states = ids if states is None else states
+        at, edges = edges_of(ids, states, k)
+        found = shared.value.find(edges >> 32, edges & 0xFFFFFFFF)
+        after = np.full(len(ids), -1, np.int32) if after is None else after.copy()
+        after[at[found >= 0]] = first + found[found >= 0]
+        if last:
+            held = np.zeros(len(ids) + k, bool)
+            for i in range(k):
+                held[i : i + len(ids)] |= after >= 0
+            held = held[: len(ids)]
+            yield pieces(ids[held], after[held], k)
+        else:
+            yield pieces(ids, states, k - 1, after)
 
 
 def bit_table(blocks: DataFrame, bits: int) -> np.ndarray:
@@ -266,6 +305,19 @@ def bit_table(blocks: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs within pass `TEXTS_AT_ONCE` rows at a time to Python, unless the session asks for fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= TEXTS_AT_ONCE:
+        spark.conf.set(key, str(TEXTS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Shared:
     """Broadcast values that are given back when no pass needs them any longer."""
 
@@ -282,10 +334,10 @@ class Shared:
         self.held = []
 
 
-def sorted_shards(rows: DataFrame, column: str, number: str, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The sorted values of `column`, `SHARD` at a time, each with the number of its first."""
-    for first in range(0, size, SHARD):
-        part = rows.where(F.col(number).between(first, first + SHARD - 1)).select(number, column).toArrow()
+def sorted_shards(rows: DataFrame, column: str, number: str, size: int, shard: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The sorted values of `column`, `shard` at a time, each with the number of its first."""
+    for first in range(0, size, shard):
+        part = rows.where(F.col(number).between(first, first + shard - 1)).select(number, column).toArrow()
         values = np.empty(part.num_rows, np.int64)
         values[part.column(0).to_numpy() - first] = part.column(1).to_numpy()
         yield first, values
@@ -296,7 +348,8 @@ def frequent_words(rows: DataFrame, min_count: int) -> tuple[DataFrame, DataFram
     salt = 0
     while True:
         counted = rows.mapInArrow(lambda batches: count_words(batches, salt), "lang string, word string, key long, n long")
-        words = stage(counted.groupBy("lang", "word", "key").agg(F.sum("n").alias("n")), "words")
+        with small_batches(rows.sparkSession):
+            words = stage(counted.groupBy("lang", "word", "key").agg(F.sum("n").alias("n")), "words")
         if words.groupBy("key").agg(F.count(F.lit(1)).alias("words")).where("words > 1").isEmpty():
             break
         salt += 1
@@ -305,48 +358,56 @@ def frequent_words(rows: DataFrame, min_count: int) -> tuple[DataFrame, DataFram
 
 
 def word_numbers(rows: DataFrame, words: DataFrame, n_words: int, salt: int) -> DataFrame:
-    """The corpus as numbers of frequent words: one blob `ids` per slice."""
-    share = Shared(rows.sparkSession)
-    if n_words <= SHARD:
-        known = share(next(sorted_shards(words, "key", "id", n_words), (0, np.zeros(0, np.int64)))[1])
-        out = stage(rows.mapInArrow(lambda batches: numbered(batches, salt, known, 0), "ids binary"), "word-numbers")
+    """The corpus as numbers of frequent words: blobs `ids`, with `states` and `next` still null."""
+    share, numbers = Shared(rows.sparkSession), "ids binary, states binary, next binary"
+    if n_words <= WORD_SHARD:
+        known = share(next(sorted_shards(words, "key", "id", n_words, WORD_SHARD), (0, np.zeros(0, np.int64)))[1])
+        with small_batches(rows.sparkSession):
+            out = stage(rows.mapInArrow(lambda batches: numbered(batches, salt, known, 0), numbers), "word-numbers")
         share.release()
         return out
-    out = stage(rows.mapInArrow(lambda batches: keyed(batches, salt), "keys binary, joined binary, ids binary"), "word-keys")
-    for first, keys in sorted_shards(words, "key", "id", n_words):
-        known, last = share(keys), first + SHARD >= n_words
-        kind = "ids binary" if last else "keys binary, joined binary, ids binary"
+    with small_batches(rows.sparkSession):
+        out = stage(rows.mapInArrow(lambda batches: keyed(batches, salt), "keys binary, joined binary, ids binary"), "word-keys")
+    for first, keys in sorted_shards(words, "key", "id", n_words, WORD_SHARD):
+        known, last = share(keys), first + WORD_SHARD >= n_words
+        kind = numbers if last else "keys binary, joined binary, ids binary"
         step = lambda batches, known=known, first=first, last=last: numbered_further(batches, known, first, last)
         out = stage(out.mapInArrow(step, kind), "word-numbers")
         share.release()
     return out
 
 
-def next_level(corpus: DataFrame, k: int, alive, bits: int, min_count: int, keep: bool) -> tuple[DataFrame, DataFrame, int]:
-    """Frequent phrases of `k` words (`gram`, `edge`, `n`), the corpus with their states, and the number of candidates."""
+def next_level(corpus: DataFrame, k: int, bits: int, min_count: int) -> tuple[DataFrame, int]:
+    """Frequent phrases of `k` words (`gram`, `edge`, `n`) of a corpus with the states of `k` - 1 words, and how many they are."""
     share = Shared(corpus.sparkSession)
     most = min(min_count, 255)
-    pairs = corpus.select("ids", "states")
-    blocks = pairs.mapInArrow(lambda batches: count_slots(batches, k, alive, bits, most), "block int, sparse boolean, counts binary")
+    corpus = corpus.select("ids", "states")
+    blocks = corpus.mapInArrow(lambda batches: count_slots(batches, k, bits, most), "block int, sparse boolean, counts binary")
     width = min(BLOCK, 1 << bits)
     merged = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(lambda batches: merge_slots(batches, width, most), "block int, bits binary")
-    full = share(bit_table(merged, 1 << bits))
-    edges = pairs.mapInArrow(lambda batches: distinct_edges(batches, k, alive, bits, full), "edge long").distinct()
-    candidates = add_positions(edges, ["edge"], "gram", start=0)
-    n = candidates.count()
-    counts = []
-    for first, part in sorted_shards(candidates, "edge", "gram", n):
+    full = share(bit_table(stage(merged, "slots"), 1 << bits))
+    edges = corpus.mapInArrow(lambda batches: distinct_edges(batches, k, bits, full), "edge long").distinct()
+    candidates = stage(add_positions(edges, ["edge"], "place", start=0), "candidates")
+    counts = [candidates.select("place", F.lit(0).cast("long").alias("n")).limit(0)]
+    for first, part in sorted_shards(candidates, "edge", "place", candidates.count(), EDGE_SHARD):
         trie, size = share(build(part)), len(part)
-        step = lambda batches, trie=trie, first=first, size=size: advance(batches, k, alive, trie, first, size, keep)
-        walked = stage(corpus.mapInArrow(step, "ids binary, states binary, next binary, gram long, n long"), "walked")
-        counts.append(walked.where("gram IS NOT NULL").select("gram", "n"))
-        if keep:
-            corpus = walked.where("gram IS NULL").select("ids", "states", "next")
-    share.release()
-    if not counts:
-        return candidates.select("gram", "edge", F.lit(0).cast("long").alias("n")), corpus, 0
-    summed = reduce(DataFrame.unionByName, counts).groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    return stage(summed.join(candidates, "gram"), "grams"), corpus.select("ids", F.col("next").alias("states"), F.unhex(F.lit("")).alias("next")), n
+        step = lambda batches, trie=trie, first=first, size=size: count_edges(batches, k, trie, first, size)
+        counts.append(stage(corpus.mapInArrow(step, "place long, n long"), "counts"))
+        share.release()
+    summed = reduce(DataFrame.unionByName, counts).groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    grams = stage(add_positions(summed.join(candidates, "place").drop("place"), ["edge"], "gram", start=0), "grams")
+    return grams, grams.count()
+
+
+def in_states(corpus: DataFrame, k: int, grams: DataFrame, n: int) -> DataFrame:
+    """The corpus with the states of phrases of `k` words, a pass per shard of their tries."""
+    share = Shared(corpus.sparkSession)
+    for first, part in sorted_shards(grams, "edge", "gram", n, EDGE_SHARD):
+        trie, last = share(build(part)), first + EDGE_SHARD >= n
+        step = lambda batches, trie=trie, first=first, last=last: advance(batches, k, trie, first, last)
+        corpus = stage(corpus.mapInArrow(step, "ids binary, states binary, next binary"), "states")
+        share.release()
+    return corpus
 
 
 def phrases(rows: DataFrame, min_count: int, max_words: int, bits: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -356,28 +417,22 @@ def phrases(rows: DataFrame, min_count: int, max_words: int, bits: int | None =
     n_words = found.count()
     total = sizes.agg(F.sum("n")).first()[0] or 0
     bits = bits or min(MOST_BITS, max(16, total.bit_length() - 3))
-    share = Shared(rows.sparkSession)
-    nothing = F.unhex(F.lit("")).alias("next")
-    corpus = word_numbers(rows, found, n_words, salt).select("ids", F.col("ids").alias("states"), nothing)
+    corpus = word_numbers(rows, found, n_words, salt)
     level = found.select(F.col("id").alias("gram"), F.array("id").alias("words"), "lang", F.col("word").alias("text"), F.col("n").alias("a"))
-    levels, alive = [level], None
+    levels = [level]
     for k in range(2, max_words + 1):
-        grams, corpus, n = next_level(corpus, k, alive, bits, min_count, keep=k < max_words)
+        grams, n = next_level(corpus, k, bits, min_count)
         before = level.select(F.col("gram").alias("before"), F.col("words").alias("start"), "lang", F.col("text").alias("head"))
         last = found.select(F.col("id").alias("last"), "word")
-        grams = grams.select("gram", F.col("n").alias("a"), F.shiftright("edge", 32).alias("before"), F.col("edge").bitwiseAND(F.lit(0xFFFFFFFF)).alias("last"))
-        level = grams.join(before, "before").join(last, "last").select(
+        spelled_out = grams.select("gram", F.col("n").alias("a"), F.shiftright("edge", 32).alias("before"), F.col("edge").bitwiseAND(F.lit(0xFFFFFFFF)).alias("last"))
+        level = stage(spelled_out.join(before, "before").join(last, "last").select(
             "gram", F.concat("start", F.array("last")).alias("words"), "lang", F.concat_ws(" ", "head", "word").alias("text"), "a"
-        )
-        level = stage(level, "phrases")
+        ), "phrases")
         levels.append(level)
         if not n:
             break
         if k < max_words:
-            places = level.groupBy(F.shiftright("gram", 16).cast("int").alias("block")).agg(F.collect_list((F.col("gram") % BLOCK).cast("int")).alias("places"))
-            share.release()
-            alive = share(bit_table(places.mapInArrow(pack_bits, "block int, bits binary"), n))
-    share.release()
+            corpus = in_states(corpus, k, grams, n)
     return reduce(DataFrame.unionByName, [x.drop("gram") for x in levels]), sizes
 
 
