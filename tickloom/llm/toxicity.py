@@ -6,7 +6,8 @@ one letter, as each stands for the others. Patterns are whole words and word beg
 
 Fitting, on a bounded sample of labelled rows (`max_rows`, by a hash of the id):
 1. Equal texts of one label count once, here and in all that follows. Texts with a pattern
-   are counted by label; all patterns more common in toxic ones, beyond chance, are candidates.
+   are counted by label; all patterns of at least `ODDS` times the odds in toxic ones, beyond
+   chance, are candidates. (Chance alone would let in ever slighter leanings as the sample grows.)
 2. Their neighbouring words are collected. A pattern's weight is the log odds of its
    distinct contexts, so that copies of one document count once. Word pairs around a
    pattern that are found in clean documents only become exception phrases.
@@ -57,6 +58,7 @@ STEMS = (4, 5, 6, 7, 8)
 MAX_ROWS = 50_000
 LEAST_DOCS, LEAST_CONTEXTS = 3, 5
 CANDIDATE, CHANCE = 10.0, 20.0  # G-squared
+ODDS = 2.0  # less than what a weight takes in the end, which counts contexts instead of texts
 
 
 def fold(text: str | None) -> str:
@@ -180,7 +182,7 @@ def fit(labelled: DataFrame) -> Lexicon:
         return Lexicon(curve=(20.0 if toxic else -20.0, 0.0, 0.0))
     t, c = F.col("toxic"), F.col("clean")
     counts = rows.mapInArrow(pattern_counts, "pattern string, clean long, toxic long").groupBy("pattern").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    odd = counts.withColumn("g", surprise(t, c, toxic, clean)).where((t >= LEAST_DOCS) & (F.col("g") > CANDIDATE) & (log_odds(t, c, toxic, clean) > 0))
+    odd = counts.withColumn("g", surprise(t, c, toxic, clean)).where((t >= LEAST_DOCS) & (F.col("g") > CANDIDATE) & (log_odds(t, c, toxic, clean) > math.log(ODDS)))
     candidates = Lexicon({x["pattern"]: 1.0 for x in odd.select("pattern").collect()})
 
     near = stage(rows.mapInArrow(lambda b: contexts(b, candidates), "pattern string, before string, after string, toxic long").distinct(), "contexts")
