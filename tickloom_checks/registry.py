@@ -271,7 +271,8 @@ def forecaster_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def classifier_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A saved and loaded classifier gives every row the grade and confidence of the fitted one."""
-    rows, model, _ = _classified(spark, sf)
+    rows = labelled(spark, sf)
+    model, _ = classification.train_classifier(rows, trees=10, max_depth=5)
     path = scratch_path(spark, "grades")
     models.save_model(model, path)
     graded = [models.predict_grades(m, rows).withColumn("prediction", F.to_json(F.struct("predicted_label", "confidence"))) for m in (model, models.load_model(path))]
