@@ -43,10 +43,11 @@ from pyspark.sql.window import Window
 from tickloom.llm.double_array import build
 from tickloom.llm.textual import LOWER, ODD, flat, mix, slices, span_hashes
 from tickloom.operators.positions import add_positions
+from tickloom.operators.sizing import attach
 from tickloom.session import stage
 
 WORD_SHARD = 4_000_000
-EDGE_SHARD = 500_000
+EDGE_SHARD = 1_000_000
 MOST_BITS = 26
 RANGE = 1 << 19
 SLICE = 1 << 20
@@ -56,6 +57,8 @@ PIECE = 1 << 12  # words of a row of the numbered corpus; Parquet holds a hundre
 GATHERED = 1 << 18  # words that are worked on at once
 HELD = 1_000_000  # distinct phrases that a task gathers before it hands them on
 NO_LANGUAGE = "und"
+SCORE_STEP = 100
+SHARES = 64
 PROOF = 1_000_000  # salt of the hash that proves a key, apart from the salts of keys
 
 BREAK = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
@@ -436,6 +439,22 @@ def phrases(rows: DataFrame, min_count: int, max_words: int, bits: int | None =
     return reduce(DataFrame.unionByName, [x.drop("gram") for x in levels]), sizes
 
 
+def top_ranked(scored: DataFrame, top: int) -> DataFrame:
+    """The `top` rows of every language with their `rank`. Scores are at most 10**6, so rows are counted by
+    steps of `SCORE_STEP` first, and only those down to the step of the last rank go on; of these, tasks
+    rank shares by a hash of the phrase before a task ranks a language."""
+    step = F.floor(F.col("best.score") / SCORE_STEP)
+    down = Window.partitionBy("lang").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
+    steps = scored.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    steps = steps.withColumn("above", F.coalesce(F.sum("n").over(down), F.lit(0))).where(F.col("above") < top)
+    least = steps.groupBy("lang").agg(F.min("step").alias("least"))
+    rows = attach(scored, least, ["lang"]).where(step >= F.col("least")).drop("least")
+    best = [F.desc("best.score"), F.desc("a"), "text"]
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("text"), F.lit(SHARES))).orderBy(*best)
+    rows = rows.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= top)
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long")).where(F.col("rank") <= top)
+
+
 def collocations(
     docs: DataFrame, min_count: int = 10, max_words: int = 3, top: int = 2000, inside_percent: int = 50,
     lang_col: str = "lang", text_col: str = "text", bits: int | None = None,
@@ -464,7 +483,6 @@ def collocations(
     held = whole.where("size > 2").select(F.explode(shorter).alias("words"), F.col("a").alias("longer"))
     held = held.groupBy("words").agg(F.max("longer").alias("longer"))
     left_over = scored.join(held, "words", "left").where(F.coalesce(100 * F.col("longer") < inside_percent * F.col("a"), F.lit(True)))
-    order = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "text")
-    ranked = left_over.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    ranked = top_ranked(stage(left_over, "scored"), top)
     sizes = stage(sizes, "language-sizes")
     return ranked.join(sizes, "lang").select("lang", "rank", F.col("text").alias("phrase"), "a", F.col("best.l").alias("l"), F.col("best.r").alias("r"), "n", F.col("best.score").alias("score"))
