@@ -172,3 +172,20 @@ def test_sampled_split(spark):
     sides = lambda df: {r["id"]: r["split"] for r in df.where("id < 9000").collect()}
     assert sides(first) == sides(half)
     assert sides(splits.sampled_split(rows, ["id"], seed=1)) != sides(first)
+
+
+def test_derived_rows_of_a_bucketed_table_are_not_shuffled(spark, prices, tmp_path):
+    """Windows run on the placed rows and write one file a bucket; the rows are those made of the whole frame."""
+    plans = []
+
+    def derive(rows):
+        out = indicators.moving_averages(rows.drop("ma_7"), windows=[7])
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    for most, folder in ((5_000_000, "placed"), (50, "unbucketed")):
+        tables.bucketed_table(prices, f"prices_{folder}", str(tmp_path / folder), rows_per_bucket=200, most_rows_of_ticker=most, derive=derive)
+        want = indicators.moving_averages(prices.drop("ma_7"), windows=[7])
+        assert sorted(spark.table(f"prices_{folder}").select(*want.columns).collect()) == sorted(want.collect())
+    assert plans[0].count("Exchange") == 1 and len(list((tmp_path / "placed").glob("*.parquet"))) <= 5
+    assert "Exchange" not in plan_of(spark.table("prices_placed").groupBy("ticker").count())

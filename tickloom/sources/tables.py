@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schema
 from tickloom.operators.latest import LATEST_COLUMNS, last_rows_of, latest_values, ordered_table, series_rows
+from tickloom.operators.segments import SegmentLimits
 from tickloom.sources.readers import read_serving
 
 
@@ -38,7 +41,8 @@ def replace_table(df: DataFrame, name: str = schema.SERVING_TABLE, location: str
 
 
 def bucketed_table(
-    df: DataFrame, name: str, location: str | None = None, rows_per_bucket: int = 200_000, most_rows_of_ticker: int = 5_000_000
+    df: DataFrame, name: str, location: str | None = None, rows_per_bucket: int = 200_000, most_rows_of_ticker: int = 5_000_000,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Replaces the table with the frame, in buckets by ticker, sorted by date within; returns the number of buckets.
 
@@ -48,14 +52,22 @@ def bucketed_table(
     follows the rows, and a table in which a single ticker has more than
     `most_rows_of_ticker` rows gets no buckets (0): it is range-partitioned as
     by `replace_table`, whose long series the operators cut.
+
+    The frame is read twice: stage it if it is costly. With `derive` the table holds what that makes of the frame: at most as many rows of a ticker, by windows
+    per ticker and other steps that leave rows in their partition. It is then called on rows that lie in
+    their buckets already, so that the frame is shuffled and not the wider rows made of it.
     """
+    derive = derive or (lambda rows: rows)
     sizes = df.groupBy("ticker").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
     if (sizes["most"] or 0) > most_rows_of_ticker:
-        replace_table(df, name, location)
+        replace_table(derive(df), name, location)
         return 0
     buckets = max(1, -(-(sizes["all"] or 0) // rows_per_bucket))
-    placed = df.repartition(buckets, "ticker").sortWithinPartitions("ticker", "date")
-    writer = placed.write.mode("overwrite").format("parquet").bucketBy(buckets, "ticker").sortBy("ticker", "date")
+    if (sizes["most"] or 0) > SegmentLimits().max_rows:  # windows cut such series and deal their rows anew
+        placed = derive(df).repartition(buckets, "ticker")
+    else:
+        placed = derive(df.repartition(buckets, "ticker"))
+    writer = placed.sortWithinPartitions("ticker", "date").write.mode("overwrite").format("parquet").bucketBy(buckets, "ticker").sortBy("ticker", "date")
     if location:
         writer = writer.option("path", location)
     writer.saveAsTable(name)

@@ -17,13 +17,13 @@ from tickloom.operators import indicators as ind
 from tickloom.operators import labels, latest, metrics, models, quality, shape, splits
 from tickloom.operators.boosting import TreeParams, fit_many, predict_many
 from tickloom.operators.forecast import drift_forecast, forecast_table
-from tickloom.operators.segments import SegmentLimits
+from tickloom.operators.segments import SegmentLimits, limits_for
 from tickloom.operators.sizing import settle
 from tickloom.plans import classification, forecasting, stock_page
 from tickloom.plans.database import PREVIEW_COLUMNS, run_database_setup
 from tickloom.plans.collection import run_collection
 from tickloom.plans.preprocessing import feature_table, run_preprocessing
-from tickloom.session import scratch_path
+from tickloom.session import scratch_path, stage
 from tickloom.sources.cache import kept_stock_data
 from tickloom.sources.readers import read_bar_files, read_bar_folders, read_features
 from tickloom.sources.tables import all_rows, bucketed_table, latest_prices
@@ -218,7 +218,9 @@ def collect_preprocess(spark: SparkSession, sf: str) -> DataFrame:
 def _bucketed(spark: SparkSession, sf: str) -> str:
     location = scratch_path(spark, "stock_buckets")
     name = location.rsplit("/", 1)[-1].replace("-", "_")
-    bucketed_table(shape.serving_shape(feature_table(supplier_bars(spark, sf))), name, location, rows_per_bucket=10_000)
+    rows = stage(supplier_bars(spark, sf), "bars")
+    limits = limits_for(rows)
+    bucketed_table(rows, name, location, rows_per_bucket=10_000, derive=lambda x: shape.serving_shape(feature_table(x, limits=limits)))
     return name
 
 
