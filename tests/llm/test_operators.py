@@ -491,3 +491,18 @@ def test_pipeline_stages(spark, corpus):
     empty = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 0")
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, empty, SF).count() == 0
+
+
+def test_query_source_mix_takes_what_the_training_order_holds(spark, odd, monkeypatch):
+    """Ids repeat and are null; every document's words are those of its copies in the order."""
+    calls, in_order = [], source_mix.in_order
+    monkeypatch.setattr(source_mix, "in_order", lambda *a: calls.append(a) or in_order(*a))
+    monkeypatch.setattr(queries, "documents", lambda *_: odd)
+    got = queries.op8_source_mix(spark, "").collect()
+    assert len(calls) == 1
+    rows, name = source_mix.mix(odd, ["doc_id"])
+    want = rows.select("doc_id", f"{name}.size", f"{name}.taken").collect()
+    assert Counter((r.doc_id, r["size"], r.taken) for r in got) == Counter((r.doc_id, r["size"], r.taken) for r in want)
+    assert all((r.first_position is None) == (r.taken == 0) for r in got)
+    order, _ = source_mix.training_order(odd)
+    assert order.select(F.sum(source_mix.word_count(F.col("text")))).first()[0] == sum(r.taken for r in got)

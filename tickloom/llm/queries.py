@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import collocations, exact_dedup, line_dedup, ngram_join, pii, prefix_trie, quality_rules, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity, url_filter
+from tickloom.session import stage
 
 LIMIT = 1024
 
@@ -68,12 +69,18 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, name = source_mix.mix(documents(spark, sf_dir), ["doc_id"])
-    m = F.col(name)
-    middle = (m["place"] + m["size"] / 2) / m["target"]
-    first = F.when(m["copies"] > 0, source_mix.position(F.least(middle, F.lit(1.0)), m["turn"]))
-    return rows.select("doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"), m["target"].alias("target"),
-                       m["taken"].alias("taken"), F.round(first, 6).alias("first_position"))
+    """What the training order holds of every document: words of all its copies, and the position of the first.
+
+    A document that is taken is known by its place on its source's line, as ids may repeat or be null."""
+    rows, name = source_mix.mix(documents(spark, sf_dir), ["doc_id", "source"])
+    rows = stage(rows.select("doc_id", source_mix.source_key(F.col("source")).alias("source"), f"{name}.*"), "mix")
+    rows = rows.withColumn("place", F.when(F.col("copies") > 0, F.col("place")))
+    order, at = source_mix.in_order(rows.withColumn(name, F.struct(*rows.columns[2:])), name, ["doc_id", "source", "place"])
+    met = order.groupBy("source", "place").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first"))
+    taken = F.col("size") * F.coalesce("n", F.lit(0))
+    return rows.join(met, ["source", "place"], "left").select(
+        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), F.round("first", 6).alias("first_position")
+    )
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,11 +111,15 @@ def mix(docs: DataFrame, carry: list[str], id_col: str = "doc_id", text_col: str
 def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, str]:
     """The documents the mix takes, once per copy, range-sorted by training position; and
     the name of the column with that position."""
-    names = docs.columns
-    rows, name = mix(docs, names, id_col, text_col, source_col)
-    at = fresh_name([*names, name], "position")
+    rows, name = mix(docs, docs.columns, id_col, text_col, source_col)
+    return in_order(rows, name, docs.columns, id_col)
+
+
+def in_order(rows: DataFrame, name: str, carry: list[str], id_col: str = "doc_id") -> tuple[DataFrame, str]:
+    """`training_order` of what `mix` gave, with the columns of `carry`."""
+    at = fresh_name([*rows.columns, name], "position")
     m = F.col(name)
     rows = rows.where(m["copies"] > 0).withColumn(at, F.explode(F.sequence(F.lit(0).cast("long"), m["copies"] - 1)))
     done = (F.col(at) * m["source_size"] + m["place"] + m["size"] / 2) / m["target"]
-    rows = rows.withColumn(at, position(F.least(done, F.lit(1.0)), m["turn"])).drop(name)
+    rows = rows.withColumn(at, position(F.least(done, F.lit(1.0)), m["turn"])).select(*(F.col(f"`{x}`") for x in carry), at)
     return rows.repartitionByRange(F.col(f"`{at}`"), F.col(f"`{id_col}`")).sortWithinPartitions(at, id_col), at
