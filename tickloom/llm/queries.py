@@ -74,13 +74,13 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     A document that is taken is known by its place on its source's line, as ids may repeat or be null."""
     rows, name = source_mix.mix(documents(spark, sf_dir), ["doc_id", "source"])
     rows = stage(rows.select("doc_id", source_mix.source_key(F.col("source")).alias("source"), f"{name}.*"), "mix")
-    rows = rows.withColumn("place", F.when(F.col("copies") > 0, F.col("place")))
     order, at = source_mix.in_order(rows.withColumn(name, F.struct(*rows.columns[2:])), name, ["doc_id", "source", "place"])
     met = order.groupBy("source", "place").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first"))
+    # Documents that are not taken have no copies to meet; they may share a place with others.
+    rest = rows.where("copies = 0").withColumns({"n": F.lit(0).cast("long"), "first": F.lit(None).cast("double")})
+    rows = rows.where("copies > 0").join(met, ["source", "place"], "left").unionByName(rest)
     taken = F.col("size") * F.coalesce("n", F.lit(0))
-    return rows.join(met, ["source", "place"], "left").select(
-        "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), F.round("first", 6).alias("first_position")
-    )
+    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), F.round("first", 6).alias("first_position"))
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
