@@ -263,6 +263,28 @@ def test_line_dedup(spark, none, share):
     assert text.select(line_dedup.without_lines(F.col("t"), F.col("r"))).first()[0] == "a\n"
 
 
+@pytest.mark.parametrize("share", [(4, 5), (1, 2)])
+def test_line_dedup_of_a_crowd(spark, monkeypatch, share):
+    """A crowded word splits its sets, a large group is settled by its first line, and all links stay."""
+    monkeypatch.setattr(line_dedup, "CROWD", 3)
+    body = " ".join(f"b{i}" for i in range(12))
+    lines = [f"{body} x{i % 7} y{i % 5}" for i in range(30)] + [f"{body.replace('b3', 'c3')} z{i} u{i}" for i in range(9)] + ["b1", "b1 b2", "b1 b2 b3", "b2 b1\tb1"]
+    lines += [" ".join(f"b{j}" for j in range(i, i + 5)) for i in range(8)]
+    rows = [(i, f"{line}\n\n{line if i % 4 == 0 else 'b1 q' + str(i)}\x0b") for i, line in enumerate(lines)] + [(90, None), (91, ""), (92, lines[3])]
+    got = Counter((r.doc_id, r.n_lines, tuple(r.removed)) for r in line_dedup.line_dedup(frame(spark, rows).coalesce(1).orderBy("doc_id"), *share).collect())
+    assert got == Counter((x, n, tuple(gone)) for x, n, gone in plain.line_fates(rows, *share))
+
+
+def test_line_dedup_takes_words_apart_once_for_its_sets(spark, monkeypatch):
+    """Few bytes are left behind: not the words of every line, as when every line went through a shuffle."""
+    staged = {}
+    monkeypatch.setattr(line_dedup, "stage", lambda df, name: staged.setdefault(f"{name}{len(staged)}", df.localCheckpoint()))
+    line_dedup.line_dedup(frame(spark, [(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(20)])).collect()
+    assert all("words" not in df.columns and "text" not in df.columns for df in staged.values())
+    sets = next(df for name, df in staged.items() if name.startswith("line-sets"))
+    assert {len(r.prefix) for r in sets.select("prefix").collect()} == {12}
+
+
 @needs_data
 def test_query_line_dedup(spark, corpus):
     got = Counter((r.doc_id, r.n_lines, tuple(r.removed)) for r in queries.op7_line_dedup(spark, SF).collect())

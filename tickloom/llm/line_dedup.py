@@ -6,135 +6,219 @@ earlier line (smaller id, or same id and smaller number) has an equal set, or on
 
 1. Words are counted in `SLOTS` hash slots, a table of fixed size that goes to every task.
    It orders the words of a line by rarity; any fixed order gives the same links.
-2. Equal sets are collapsed, pre-aggregated before the shuffle. What follows is about one
-   line for each set.
+2. Texts are taken apart once more, and each line leaves what is needed of its set: a key, its
+   size, a sketch of 64 bits (each word flips one, so that differing bits are words of one set
+   only), and its prefix, the rarest words. Equal sets are collapsed onto the first line that
+   has them, pre-aggregated before the shuffle, and numbered in the order of these lines.
 3. Sets meet at the words of their prefixes, `n - ceil(t n) + 1` rarest ones. Sizes, what is
-   left behind the places of the word, and a bitmap of 64 bits (each differing bit is a word
-   of one set only) rule pairs out.
-4. At each word, all sets are compared with the one read first there. That settles groups of
-   near copies at a cost of a row each. Then the sets not yet removed, as later ones, are
-   compared with all that share a prefix word.
-5. Pairs left are verified on their words.
+   left behind the places of the word, and the sketches rule pairs out.
+4. A word in more than `CROWD` prefixes splits its sets by the word they share next, which the
+   prefix one longer holds. Where more than `CROWD` still meet, all are compared with the first
+   of them, which settles groups of near copies at a cost of a row each. Only sets not yet
+   removed are then compared, as later ones, with all.
+5. Each set is verified with the first of its candidates, and if that is not like it with the
+   others. Lines are found in the texts by a hash and taken apart again only for this; a table
+   of bits, of fixed size, keeps most other lines out of the shuffle.
 
 A null id comes after all others; rows tied in id come in the order they are read in. Null and
-empty texts have no lines. Columns other than id and text are not read. Sets are known by 64
-bits of hash. An empty table gives no rows.
+empty texts have no lines. Columns other than id and text are not read. Words, sets and lines are
+known by 64 bits of hash. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.session import stage
 
 SLOTS = 1 << 18
 BLOCK_BITS = 10
-SPACE = r"[\x20\x09-\x0D]+"
+LINE_SLOTS = 1 << 16
+CROWD = 256
+PLACE = ("no_id", "id", "row", "no")
+WORD = r"[^\x20\x09-\x0D]"
 
 
-def words(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda w: w != "")
+def parted(text: Column) -> Column:
+    """The text cut at spaces; empty words are left in."""
+    for space in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.split(text, " ")
 
 
-def slot(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
+def word_set(line: Column) -> Column:
+    """The hashes of the distinct words."""
+    return F.array_remove(F.array_distinct(F.transform(parted(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
-def frequencies(texts: DataFrame) -> bytes:
-    """How common the words of each slot are, a byte each on a logarithmic scale.
+def slot(hash_: Column, slots: int) -> Column:
+    return hash_.bitwiseAND(F.lit(slots - 1)).cast("int")
+
+
+def byte_table(found: DataFrame, slots: int) -> bytes:
+    """A byte `c` for each of the places `s`, 0 where `found` has none.
 
     Of fixed size whatever the corpus, so it goes to tasks as a literal: an array column
     would be copied into every row.
     """
-    found = texts.select(F.explode(words(F.col("text"))).alias("w")).groupBy(slot(F.col("w")).alias("s")).agg(F.count("*").alias("c"))
-    zero = texts.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("s"), F.lit(0).cast("long").alias("c"))
-    full = zero.union(found).groupBy("s").agg(F.sum("c").alias("c"))
-    full = full.withColumn("c", F.lpad(F.hex(F.least(F.floor(6 * F.log2(F.col("c") + 1)), F.lit(255)).cast("long")), 2, "0"))
+    zero = found.sparkSession.range(slots).select(F.col("id").cast("int").alias("s"), F.lit(0).cast("long").alias("c"))
+    full = zero.union(found.select("s", F.col("c").cast("long"))).groupBy("s").agg(F.sum("c").alias("c"))
+    full = full.withColumn("c", F.lpad(F.hex("c"), 2, "0"))
     ordered = lambda rows: F.array_sort(F.collect_list(rows))
     blocks = full.groupBy(F.shiftright("s", BLOCK_BITS).alias("b")).agg(F.array_join(F.transform(ordered(F.struct("s", "c")), lambda x: x["c"]), "").alias("a"))
     return bytes(blocks.agg(F.unhex(F.array_join(F.transform(ordered(F.struct("b", "a")), lambda x: x["a"]), ""))).first()[0])
 
 
-def set_key(tokens: Column) -> Column:
-    return F.xxhash64(F.array_join(F.array_sort(tokens), " "))
+def rarity(count: float) -> int:
+    """Of a count, on a logarithmic scale of seven bits."""
+    return min(127, math.floor(5 * math.log2(count + 1)))
+
+
+def frequencies(texts: DataFrame) -> bytes:
+    """How common the words of each slot are, as `rarity`."""
+    words = texts.select(F.explode(parted(F.col("text"))).alias("w")).where("w <> ''")
+    found = words.groupBy(slot(F.xxhash64("w"), SLOTS).alias("s")).agg(F.count("*").alias("c"))
+    return byte_table(found.select("s", F.least(F.floor(5 * F.log2(F.col("c") + 1)), F.lit(127)).alias("c")), SLOTS)
+
+
+def level(word: Column) -> Column:
+    """Half the rarity of a prefix word."""
+    return F.shiftright(word, 25)
 
 
-def line_sets(texts: DataFrame, num: int, den: int) -> DataFrame:
-    """One row per distinct set: `key`, `n`, `bits` and the hashes of its prefix."""
-    rows = texts.select(F.explode(F.split("text", "\n")).alias("line")).select(F.array_distinct(words(F.col("line"))).alias("tokens")).where(F.size("tokens") > 0)
-    common = F.lit(frequencies(texts))
-    n = F.size("tokens")
-    ranked = F.array_sort(F.transform("tokens", lambda w: F.struct(F.hex(F.substring(common, slot(w) + 1, F.lit(1))), F.hash(w))))
-    prefix = F.transform(F.slice(ranked, F.lit(1), n - F.ceil(n * num / den).cast("int") + 1), lambda x: x["col2"])
-    bits = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, w: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(w).bitwiseAND(F.lit(63)).cast("int"))))
-    rows = rows.select(set_key(F.col("tokens")).alias("key"), n.alias("n"), bits.alias("bits"), prefix.alias("prefix"))
-    return rows.groupBy("key").agg(F.first(F.struct("n", "bits", "prefix")).alias("s")).select("key", "s.*")
+def spare(n: Column, num: int, den: int) -> Column:
+    """How many words of a set of size n a link can do without."""
+    return n - F.ceil(n * num / den).cast("int")
 
 
-def can_link(a: str, b: str, num: int, den: int) -> Column:
+def sketch(words: Column, half: int) -> Column:
+    """One half of 128 bits, of which each word flips one."""
+    flip = lambda w: F.call_function("shiftleft", F.shiftright(w, 6).bitwiseAND(F.lit(1)).bitwiseXOR(F.lit(1 - half)), w.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(flip(w)))
+
+
+def line_sets(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
+    """A row for each line with a word, and for the first of every text (null: empty)."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    common = F.lit(frequencies(docs.select(text.alias("text"))))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"), text.alias("text"))
+    lines = rows.select("row", "id", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    lines = lines.where((F.col("no") == 0) | F.col("line").rlike(WORD))
+    lines = lines.select("row", "id", "no", F.xxhash64("line").alias("line_hash"), word_set(F.col("line")).alias("words"))
+    # A word as an integer: half its rarity, then 25 bits of its hash.
+    rank = lambda w: F.shiftright(F.ascii(F.substring(common, slot(w, SLOTS) + 1, F.lit(1)).cast("string")), 1)
+    ranked = F.transform("words", lambda w: F.shiftleft(rank(w), 25).bitwiseOR(F.shiftrightunsigned(w, 39).cast("int")))
+    n = F.size("words")
+    prefix = F.slice(F.sort_array(ranked), F.lit(1), spare(n, num, den) + 2)
+    key = F.when(n > 0, F.xxhash64(F.sort_array("words"))).otherwise(F.xxhash64("row"))
+    return lines.select("row", "id", "no", "line_hash", key.alias("key"), n.alias("n"), sketch(F.col("words"), 0).alias("low"), sketch(F.col("words"), 1).alias("high"), prefix.alias("prefix"))
+
+
+def needed(a: Column, b: Column, num: int, den: int) -> Column:
+    """How many words sets of sizes a and b must share."""
+    return F.ceil(num * (a + b) / (num + den))
+
+
+def can_link(num: int, den: int) -> Column:
     """Whether sets at places `pos` of a shared prefix word may link: by size, by what is left
     from these places on (unless they share a rarer word, where this is tested again), and
-    by their bitmaps."""
-    f = lambda side, name: F.col(f"{side}.{name}")
-    need = F.ceil(num * (f(a, "n") + f(b, "n")) / (num + den))
-    differ = F.bit_count(f(a, "bits").bitwiseXOR(f(b, "bits")))
+    by their sketches, folded."""
+    n_l, n_r = F.shiftright("l.at", 32), F.shiftright("r.at", 32)
+    pos = lambda side: F.col(f"{side}.at").bitwiseAND(F.lit((1 << 32) - 1))
+    need = needed(n_l, n_r, num, den)
     return (
-        (den * F.least(f(a, "n"), f(b, "n")) >= num * F.greatest(f(a, "n"), f(b, "n")))
-        & (F.least(f(a, "n") - f(a, "pos"), f(b, "n") - f(b, "pos")) >= need)
-        & (differ <= f(a, "n") + f(b, "n") - 2 * need)
+        (F.col("l.k") == F.col("r.k"))
+        & (den * F.least(n_l, n_r) >= num * F.greatest(n_l, n_r))
+        & (F.least(n_l - pos("l"), n_r - pos("r")) >= need)
+        & (F.bit_count(F.col("l.bits").bitwiseXOR(F.col("r.bits"))) <= n_l + n_r - 2 * need)
     )
 
 
+def meetings(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame | None]:
+    """The sets at each word `k` of their prefixes; those at words with a crowd apart (if there
+    are any), each at two words."""
+    n = F.col("n")
+    posted = sets.select("seq", "n", F.col("low").bitwiseXOR(F.col("high")).alias("bits"), "prefix", F.posexplode(F.slice("prefix", F.lit(1), spare(n, num, den) + 1)).alias("pos", "word"))
+    rest = (F.shiftleft(n.cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "seq", "bits")
+    plain = posted.select(F.col("word").alias("k"), *rest)
+    crowds = posted.where(level(F.col("word")) >= rarity(CROWD) // 2).groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("word")
+    crowds = stage(crowds, "crowds")
+    if crowds.isEmpty():
+        return plain, None
+    # Sets that may link by one shared word stay at that word, too.
+    few = needed(n, F.ceil(n * num / den), num, den) <= 1
+    after = F.slice("prefix", F.col("pos") + 2, F.size("prefix"))
+    split = posted.join(crowds, "word", "left_semi").withColumn("next", F.explode(F.when(few, F.array_append(after, F.lit(-1))).otherwise(after)))
+    return plain.join(crowds.toDF("k"), "k", "left_anti"), stage(split.select(F.xxhash64("word", "next").alias("k"), *rest), "crowded")
+
+
+def met(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
+    """Pairs of sets, the smaller number first."""
+    found = left.alias("l").join(right.alias("r"), on)
+    return found.select(F.least("l.seq", "r.seq").alias("x"), F.greatest("l.seq", "r.seq").alias("y"))
+
+
+def in_order(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of sets as the later one `b` and the earlier one `a`, those whose whole sketches allow a link."""
+    known = sets.select("seq", F.struct(*PLACE).alias("place"), "line_hash", "n", "low", "high")
+    for x in "xy":
+        pairs = pairs.join(known.select(F.col("seq").alias(x), F.struct(*known.columns).alias(f"of_{x}")), x)
+    x, y = F.col("of_x"), F.col("of_y")
+    differ = F.bit_count(x["low"].bitwiseXOR(y["low"])) + F.bit_count(x["high"].bitwiseXOR(y["high"]))
+    pairs = pairs.where(differ <= x["n"] + y["n"] - 2 * needed(x["n"], y["n"], num, den))
+    late = x["place"] > y["place"]
+    pairs = pairs.select(F.when(late, x).otherwise(y).alias("b"), F.when(late, y).otherwise(x).alias("a"))
+    return pairs.select(F.col("b.seq").alias("b"), F.struct("a.place", "a.seq", "a.line_hash").alias("a"), F.col("b.line_hash").alias("line_b"))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of the pairs of keys `a`, `b` whose sets link."""
-    pairs = stage(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    rows = texts.select(F.explode(F.split("text", "\n")).alias("line")).select(F.array_distinct(words(F.col("line"))).alias("tokens"))
-    rows = rows.where(F.size("tokens") > 0).select(set_key(F.col("tokens")).alias("key"), "tokens").join(wanted, "key", "left_semi")
-    sets = stage(rows.groupBy("key").agg(F.first("tokens").alias("tokens")), "line-sets")
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    same = F.size(F.array_intersect("x", "y"))
-    return both.where(den * same >= num * (F.size("x") + F.size("y") - same)).select("a", "b")
+    """The sets `b` of the pairs that link."""
+    pairs = pairs.select("b", F.col("a.line_hash").alias("line_a"), "line_b")
+    wanted = pairs.select(F.explode(F.array("line_a", "line_b")).alias("line_hash"))
+    place, bit = (lambda h: slot(F.shiftright(h, 3), LINE_SLOTS)), (lambda h: F.call_function("shiftleft", F.lit(1), h.bitwiseAND(F.lit(7)).cast("int")))
+    table = byte_table(wanted.groupBy(place(F.col("line_hash")).alias("s")).agg(F.bit_or(bit(F.col("line_hash"))).alias("c")), LINE_SLOTS)
+    lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).select(F.xxhash64("line").alias("line_hash"), "line")
+    held = F.conv(F.hex(F.substring(F.lit(table), place(F.col("line_hash")) + 1, F.lit(1))), 16, 10).cast("int")
+    lines = lines.where(held.bitwiseAND(bit(F.col("line_hash"))) != 0).groupBy("line_hash").agg(F.first("line").alias("line"))
+    both = pairs.join(lines.toDF("line_a", "x"), "line_a").join(lines.toDF("line_b", "y"), "line_b")
+    both = both.select("b", word_set(F.col("x")).alias("x"), word_set(F.col("y")).alias("y"))
+    both = both.select("b", F.size(F.array_intersect("x", "y")).alias("same"), (F.size("x") + F.size("y")).alias("sum"))
+    return stage(both.where(den * F.col("same") >= num * (F.col("sum") - F.col("same"))).select("b").distinct(), "like")
 
 
 def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id, `n_lines` (with a word), `n_removed`, and the numbers of
     the removed lines (from 0, over all lines) as `removed`."""
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
-    lines = F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), lambda line, i: F.struct(i.alias("no"), F.array_distinct(words(line)).alias("tokens")))
-    lines = F.transform(F.filter(lines, lambda x: F.size(x["tokens"]) > 0), lambda x: F.struct(x["no"].alias("no"), set_key(x["tokens"]).alias("key")))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    rows = stage(rows.select("row", "id", lines.alias("lines")), "lines")
-    each = rows.select("row", "id", F.explode("lines").alias("x")).select("row", "id", F.col("x.no").alias("no"), F.col("x.key").alias("key"))
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "no")
-    first = stage(each.groupBy("key").agg(F.min(place).alias("first")), "first-lines")
-
-    sets = line_sets(texts, num, den).join(first.select("key", F.col("first.row").alias("row")), "key")
-    posted = sets.select("key", "n", "bits", "row", F.posexplode("prefix").alias("pos", "word"))
-    here = Window.partitionBy("word")
-    lead = F.min(F.struct("row", "key", "n", "bits", "pos")).over(here).alias("lead")
-    posted = posted.select("word", "key", "n", "bits", "pos", lead, F.count("*").over(here).alias("c")).where("c > 1").drop("c")
-    posted = stage(posted, "postings")
-
-    earlier = lambda pairs: (
-        pairs.join(first.select(F.col("key").alias("a"), F.col("first").alias("fa")), "a").join(first.select(F.col("key").alias("b"), F.col("first").alias("fb")), "b")
-        .select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("key"))
-    )
-    me = posted.select(F.struct("key", "n", "bits", "pos").alias("me"), "lead").where("me.key <> lead.key").where(can_link("me", "lead", num, den))
-    gone = stage(earlier(verified(me.select(F.col("me.key").alias("a"), F.col("lead.key").alias("b")), texts, num, den)).distinct(), "gone")
-
-    later = posted.join(gone, "key", "left_anti").select("word", F.struct("key", "n", "bits", "pos").alias("l"))
-    other = posted.select("word", F.struct("key", "n", "bits", "pos").alias("o"), "lead")
-    pairs = later.join(other, "word").where("l.key <> o.key AND o.key <> lead.key").where(can_link("l", "o", num, den))
-    pairs = pairs.select(F.least("l.key", "o.key").alias("a"), F.greatest("l.key", "o.key").alias("b"))
-    gone = stage(gone.union(earlier(verified(pairs, texts, num, den))).distinct(), "gone")
-
-    fate = first.join(gone.withColumn("like", F.lit(True)), "key", "left").select("key", F.col("first.row").alias("first_row"), F.col("first.no").alias("first_no"), F.coalesce("like", F.lit(False)).alias("like"))
-    lost = each.join(fate, "key").where(F.col("like") | (F.col("row") != F.col("first_row")) | (F.col("no") != F.col("first_no")))
-    lost = lost.groupBy("row").agg(F.array_sort(F.collect_list("no")).alias("removed"))
-    out = rows.join(lost, "row", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
-    return out.select(F.col("id").alias(id_col), F.size("lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "removed")
+    lines = stage(line_sets(docs, id_col, text_col, num, den), "lines")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "no", "line_hash", "n", "low", "high", "prefix")).alias("first")
+    sets = lines.where("n > 0").groupBy("key").agg(first).select(F.monotonically_increasing_id().alias("seq"), "key", "first.*")
+    sets = stage(sets, "line-sets")
+
+    plain, crowded = meetings(sets, num, den)
+    pairs, gone = met(plain, plain, can_link(num, den) & (F.col("l.seq") < F.col("r.seq"))), None
+    if crowded is not None:
+        other = can_link(num, den) & (F.col("l.seq") != F.col("r.seq"))
+        lead = crowded.join(sets.select("seq", F.struct(*PLACE).alias("place")), "seq").groupBy("k").agg(F.min(F.struct("place", "seq", "at", "bits")).alias("lead"), F.count("*").alias("c"))
+        lead = lead.where(F.col("c") > CROWD).select("k", "lead.seq", "lead.at", "lead.bits")
+        first = stage(in_order(met(crowded, lead, other).distinct(), sets, num, den), "candidates")
+        gone = verified(first.groupBy("b").agg(F.min("a").alias("a"), F.first("line_b").alias("line_b")), texts, num, den)
+        pairs = pairs.union(met(crowded, crowded.join(gone.toDF("seq"), "seq", "left_anti"), other))
+    pairs = stage(in_order(pairs.distinct(), sets, num, den), "candidates")
+    best = stage(pairs.groupBy("b").agg(F.min("a").alias("a"), F.first("line_b").alias("line_b"), F.count("*").alias("c")), "first-candidates")
+    like = verified(best, texts, num, den)
+    untold = best.where("c > 1").join(like, "b", "left_anti").select("b", F.col("a").alias("tried"))
+    like = like.union(verified(pairs.join(untold, "b").where(F.col("a") != F.col("tried")), texts, num, den))
+    like = (like if gone is None else like.union(gone)).distinct().select(F.col("b").alias("seq"), F.lit(True).alias("like"))
+
+    fate = sets.select("seq", "key", F.col("row").alias("first_row"), F.col("no").alias("first_no")).join(like, "seq", "left").drop("seq")
+    each = lines.select("row", "id", "no", "key", "n").join(fate, "key", "left")
+    lost = (F.col("n") > 0) & (F.col("like").isNotNull() | (F.col("row") != F.col("first_row")) | (F.col("no") != F.col("first_no")))
+    out = each.groupBy("row").agg(F.first("id").alias("id"), F.count_if(F.col("n") > 0).alias("n_lines"), F.array_sort(F.collect_list(F.when(lost, F.col("no")))).alias("removed"))
+    return out.select(F.col("id").alias(id_col), "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
 def without_lines(text: Column, removed: Column) -> Column:
