@@ -285,6 +285,21 @@ def test_line_dedup_takes_words_apart_once_for_its_sets(spark, monkeypatch):
     assert {len(r.prefix) for r in sets.select("prefix").collect()} == {12}
 
 
+def test_line_dedup_numbers_its_sets_in_order(spark, monkeypatch):
+    """Numbers tell which set is the earlier one, and the lines of all pairs are fetched in one pass."""
+    staged = []
+    monkeypatch.setattr(line_dedup, "stage", lambda df, name: staged.append((name, df.localCheckpoint())) or staged[-1][1])
+    body = " ".join(f"b{i}" for i in range(20))
+    rows = [(40 - i, f"{body} x{i}\nonly {i} here") for i in range(40)] + [(None, f"{body} y"), (7, f"{body} z"), (7, body)]
+    assert line_dedup.line_dedup(frame(spark, rows)).agg(F.sum("n_removed")).first()[0] == 42
+    sets = sorted(next(df for name, df in staged if name == "line-sets").collect(), key=lambda r: r.seq)
+    places = [(r.no_id, r.id or 0, r.row, r.no) for r in sets]
+    assert places == sorted(places) and len({r.seq for r in sets}) == len(sets) == 83
+    assert [name for name, _ in staged].count("pair-lines") == 1
+    pairs = [(r.a, r.b) for name, df in staged if name == "candidates" for r in df.collect()]
+    assert pairs and all(a < b for a, b in pairs)
+
+
 @needs_data
 def test_query_line_dedup(spark, corpus):
     got = Counter((r.doc_id, r.n_lines, tuple(r.removed)) for r in queries.op7_line_dedup(spark, SF).collect())

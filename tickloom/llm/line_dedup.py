@@ -7,7 +7,7 @@ earlier line (smaller id, or same id and smaller number) has an equal set, or on
 1. Words are counted in `SLOTS` hash slots, a table of fixed size that goes to every task.
    It orders the words of a line by rarity; any fixed order gives the same links.
 2. Texts are taken apart once more, and each line leaves what is needed of its set: a key, its
-   size, a sketch of 64 bits (each word flips one, so that differing bits are words of one set
+   size, a sketch of 128 bits (each word flips one, so that differing bits are words of one set
    only), and its prefix, the rarest words. Equal sets are collapsed onto the first line that
    has them, pre-aggregated before the shuffle, and numbered in the order of these lines.
 3. Sets meet at the words of their prefixes, `n - ceil(t n) + 1` rarest ones. Sizes, what is
@@ -17,8 +17,8 @@ earlier line (smaller id, or same id and smaller number) has an equal set, or on
    of them, which settles groups of near copies at a cost of a row each. Only sets not yet
    removed are then compared, as later ones, with all.
 5. Each set is verified with the first of its candidates, and if that is not like it with the
-   others. Lines are found in the texts by a hash and taken apart again only for this; a table
-   of bits, of fixed size, keeps most other lines out of the shuffle.
+   others. Lines are found in the texts by a hash, in one pass for all of these pairs, and taken
+   apart again only for this; a table of bits, of fixed size, keeps other lines out of the shuffle.
 
 A null id comes after all others; rows tied in id come in the order they are read in. Null and
 empty texts have no lines. Columns other than id and text are not read. Words, sets and lines are
@@ -27,8 +27,6 @@ known by 64 bits of hash. An empty table gives no rows.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,23 +70,13 @@ def byte_table(found: DataFrame, slots: int) -> bytes:
     return bytes(blocks.agg(F.unhex(F.array_join(F.transform(ordered(F.struct("b", "a")), lambda x: x["a"]), ""))).first()[0])
 
 
-def rarity(count: float) -> int:
-    """Of a count, on a logarithmic scale of seven bits."""
-    return min(127, math.floor(5 * math.log2(count + 1)))
-
-
 def frequencies(texts: DataFrame) -> bytes:
-    """How common the words of each slot are, as `rarity`."""
+    """How common the words of each slot are, on a logarithmic scale of seven bits."""
     words = texts.select(F.explode(parted(F.col("text"))).alias("w")).where("w <> ''")
     found = words.groupBy(slot(F.xxhash64("w"), SLOTS).alias("s")).agg(F.count("*").alias("c"))
     return byte_table(found.select("s", F.least(F.floor(5 * F.log2(F.col("c") + 1)), F.lit(127)).alias("c")), SLOTS)
 
 
-def level(word: Column) -> Column:
-    """Half the rarity of a prefix word."""
-    return F.shiftright(word, 25)
-
-
 def spare(n: Column, num: int, den: int) -> Column:
     """How many words of a set of size n a link can do without."""
     return n - F.ceil(n * num / den).cast("int")
@@ -96,24 +84,25 @@ def spare(n: Column, num: int, den: int) -> Column:
 
 def sketch(words: Column, half: int) -> Column:
     """One half of 128 bits, of which each word flips one."""
-    flip = lambda w: F.call_function("shiftleft", F.shiftright(w, 6).bitwiseAND(F.lit(1)).bitwiseXOR(F.lit(1 - half)), w.bitwiseAND(F.lit(63)).cast("int"))
+    one = lambda w: F.shiftright(w if half else F.bitwise_not(w), 6).bitwiseAND(F.lit(1).cast("long"))
+    flip = lambda w: F.call_function("shiftleft", one(w), w.bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(flip(w)))
 
 
 def line_sets(docs: DataFrame, id_col: str, text_col: str, num: int, den: int) -> DataFrame:
     """A row for each line with a word, and for the first of every text (null: empty)."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    common = F.lit(frequencies(docs.select(text.alias("text"))))
+    common = F.split(F.lit(",".join(str(c // 2) for c in frequencies(docs.select(text.alias("text"))))), ",").cast("array<int>")
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"), text.alias("text"))
     lines = rows.select("row", "id", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     lines = lines.where((F.col("no") == 0) | F.col("line").rlike(WORD))
     lines = lines.select("row", "id", "no", F.xxhash64("line").alias("line_hash"), word_set(F.col("line")).alias("words"))
-    # A word as an integer: half its rarity, then 25 bits of its hash.
-    rank = lambda w: F.shiftright(F.ascii(F.substring(common, slot(w, SLOTS) + 1, F.lit(1)).cast("string")), 1)
-    ranked = F.transform("words", lambda w: F.shiftleft(rank(w), 25).bitwiseOR(F.shiftrightunsigned(w, 39).cast("int")))
+    # A word as half its rarity, then 57 bits of its hash; in a prefix as an integer with 25 bits of it.
+    ranked = F.transform("words", lambda w: F.shiftleft(common[slot(w, SLOTS)].cast("long"), 57).bitwiseOR(F.shiftrightunsigned(w, 7)))
+    lines = lines.withColumn("ranked", F.sort_array(ranked))
     n = F.size("words")
-    prefix = F.slice(F.sort_array(ranked), F.lit(1), spare(n, num, den) + 2)
-    key = F.when(n > 0, F.xxhash64(F.sort_array("words"))).otherwise(F.xxhash64("row"))
+    prefix = F.transform(F.slice("ranked", F.lit(1), spare(n, num, den) + 2), lambda w: F.shiftright(w, 32).cast("int"))
+    key = F.when(n > 0, F.xxhash64("ranked")).otherwise(F.xxhash64("row"))
     return lines.select("row", "id", "no", "line_hash", key.alias("key"), n.alias("n"), sketch(F.col("words"), 0).alias("low"), sketch(F.col("words"), 1).alias("high"), prefix.alias("prefix"))
 
 
@@ -123,29 +112,38 @@ def needed(a: Column, b: Column, num: int, den: int) -> Column:
 
 
 def can_link(num: int, den: int) -> Column:
-    """Whether sets at places `pos` of a shared prefix word may link: by size, by what is left
-    from these places on (unless they share a rarer word, where this is tested again), and
-    by their sketches, folded."""
+    """Whether sets at places `pos` of a shared prefix word may link: by size, by their sketches,
+    and by what is left from these places on (unless they share a rarer word, where this is
+    tested again)."""
     n_l, n_r = F.shiftright("l.at", 32), F.shiftright("r.at", 32)
     pos = lambda side: F.col(f"{side}.at").bitwiseAND(F.lit((1 << 32) - 1))
-    need = needed(n_l, n_r, num, den)
+    differ = F.bit_count(F.col("l.low").bitwiseXOR(F.col("r.low"))) + F.bit_count(F.col("l.high").bitwiseXOR(F.col("r.high")))
     return (
         (F.col("l.k") == F.col("r.k"))
-        & (den * F.least(n_l, n_r) >= num * F.greatest(n_l, n_r))
-        & (F.least(n_l - pos("l"), n_r - pos("r")) >= need)
-        & (F.bit_count(F.col("l.bits").bitwiseXOR(F.col("r.bits"))) <= n_l + n_r - 2 * need)
+        & (den * n_l >= num * n_r)
+        & (den * n_r >= num * n_l)
+        & ((num + den) * differ <= (den - num) * (n_l + n_r))
+        & ((num + den) * F.least(n_l - pos("l"), n_r - pos("r")) >= num * (n_l + n_r))
     )
 
 
+def crowded_words(posted: DataFrame) -> DataFrame:
+    """The words of more than `CROWD` prefixes; a word is counted if those of its slot are as many."""
+    at = lambda w: slot(w, SLOTS)
+    found = posted.groupBy(at(F.col("word")).alias("s")).agg(F.count("*").alias("c"))
+    table = byte_table(found.where(F.col("c") > CROWD).select("s", F.lit(1).alias("c")), SLOTS)
+    posted = posted.where(F.substring(F.lit(table), at(F.col("word")) + 1, F.lit(1)) == F.lit(b"\x01"))
+    return posted.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("word")
+
+
 def meetings(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame | None]:
     """The sets at each word `k` of their prefixes; those at words with a crowd apart (if there
     are any), each at two words."""
     n = F.col("n")
-    posted = sets.select("seq", "n", F.col("low").bitwiseXOR(F.col("high")).alias("bits"), "prefix", F.posexplode(F.slice("prefix", F.lit(1), spare(n, num, den) + 1)).alias("pos", "word"))
-    rest = (F.shiftleft(n.cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "seq", "bits")
+    posted = sets.select("seq", "n", "low", "high", "prefix", F.posexplode(F.slice("prefix", F.lit(1), spare(n, num, den) + 1)).alias("pos", "word"))
+    rest = (F.shiftleft(n.cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "seq", "low", "high")
     plain = posted.select(F.col("word").alias("k"), *rest)
-    crowds = posted.where(level(F.col("word")) >= rarity(CROWD) // 2).groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("word")
-    crowds = stage(crowds, "crowds")
+    crowds = stage(crowded_words(posted.select("word")), "crowds")
     if crowds.isEmpty():
         return plain, None
     # Sets that may link by one shared word stay at that word, too.
@@ -156,34 +154,26 @@ def meetings(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame
 
 
 def met(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
-    """Pairs of sets, the smaller number first."""
+    """Pairs of sets, the earlier one `a` and the later one `b`."""
     found = left.alias("l").join(right.alias("r"), on)
-    return found.select(F.least("l.seq", "r.seq").alias("x"), F.greatest("l.seq", "r.seq").alias("y"))
+    return found.select(F.least("l.seq", "r.seq").alias("a"), F.greatest("l.seq", "r.seq").alias("b"))
 
 
-def in_order(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of sets as the later one `b` and the earlier one `a`, those whose whole sketches allow a link."""
-    known = sets.select("seq", F.struct(*PLACE).alias("place"), "line_hash", "n", "low", "high")
-    for x in "xy":
-        pairs = pairs.join(known.select(F.col("seq").alias(x), F.struct(*known.columns).alias(f"of_{x}")), x)
-    x, y = F.col("of_x"), F.col("of_y")
-    differ = F.bit_count(x["low"].bitwiseXOR(y["low"])) + F.bit_count(x["high"].bitwiseXOR(y["high"]))
-    pairs = pairs.where(differ <= x["n"] + y["n"] - 2 * needed(x["n"], y["n"], num, den))
-    late = x["place"] > y["place"]
-    pairs = pairs.select(F.when(late, x).otherwise(y).alias("b"), F.when(late, y).otherwise(x).alias("a"))
-    return pairs.select(F.col("b.seq").alias("b"), F.struct("a.place", "a.seq", "a.line_hash").alias("a"), F.col("b.line_hash").alias("line_b"))
-
-
-def verified(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
-    """The sets `b` of the pairs that link."""
-    pairs = pairs.select("b", F.col("a.line_hash").alias("line_a"), "line_b")
-    wanted = pairs.select(F.explode(F.array("line_a", "line_b")).alias("line_hash"))
+def lines_of(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """The line of each set in these pairs."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("seq")).distinct()
+    wanted = stage(sets.select("seq", "line_hash").join(wanted, "seq", "left_semi"), "wanted")
     place, bit = (lambda h: slot(F.shiftright(h, 3), LINE_SLOTS)), (lambda h: F.call_function("shiftleft", F.lit(1), h.bitwiseAND(F.lit(7)).cast("int")))
     table = byte_table(wanted.groupBy(place(F.col("line_hash")).alias("s")).agg(F.bit_or(bit(F.col("line_hash"))).alias("c")), LINE_SLOTS)
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).select(F.xxhash64("line").alias("line_hash"), "line")
     held = F.conv(F.hex(F.substring(F.lit(table), place(F.col("line_hash")) + 1, F.lit(1))), 16, 10).cast("int")
     lines = lines.where(held.bitwiseAND(bit(F.col("line_hash"))) != 0).groupBy("line_hash").agg(F.first("line").alias("line"))
-    both = pairs.join(lines.toDF("line_a", "x"), "line_a").join(lines.toDF("line_b", "y"), "line_b")
+    return stage(lines.join(wanted, "line_hash").select("seq", "line"), "pair-lines")
+
+
+def verified(pairs: DataFrame, lines: DataFrame, num: int, den: int) -> DataFrame:
+    """The sets `b` of the pairs that link."""
+    both = pairs.select("a", "b").join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b")
     both = both.select("b", word_set(F.col("x")).alias("x"), word_set(F.col("y")).alias("y"))
     both = both.select("b", F.size(F.array_intersect("x", "y")).alias("same"), (F.size("x") + F.size("y")).alias("sum"))
     return stage(both.where(den * F.col("same") >= num * (F.col("sum") - F.col("same"))).select("b").distinct(), "like")
@@ -195,23 +185,25 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
     texts = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
     lines = stage(line_sets(docs, id_col, text_col, num, den), "lines")
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "no", "line_hash", "n", "low", "high", "prefix")).alias("first")
-    sets = lines.where("n > 0").groupBy("key").agg(first).select(F.monotonically_increasing_id().alias("seq"), "key", "first.*")
-    sets = stage(sets, "line-sets")
+    sets = lines.where("n > 0").groupBy("key").agg(first).select("key", "first.*")
+    # Numbers follow the order of the lines, so they say which of two sets is the earlier one.
+    sets = stage(sets.orderBy(*PLACE).withColumn("seq", F.monotonically_increasing_id()), "line-sets")
 
     plain, crowded = meetings(sets, num, den)
-    pairs, gone = met(plain, plain, can_link(num, den) & (F.col("l.seq") < F.col("r.seq"))), None
+    pairs, gone = met(plain, plain, (F.col("l.seq") < F.col("r.seq")) & can_link(num, den)), None
     if crowded is not None:
-        other = can_link(num, den) & (F.col("l.seq") != F.col("r.seq"))
-        lead = crowded.join(sets.select("seq", F.struct(*PLACE).alias("place")), "seq").groupBy("k").agg(F.min(F.struct("place", "seq", "at", "bits")).alias("lead"), F.count("*").alias("c"))
-        lead = lead.where(F.col("c") > CROWD).select("k", "lead.seq", "lead.at", "lead.bits")
-        first = stage(in_order(met(crowded, lead, other).distinct(), sets, num, den), "candidates")
-        gone = verified(first.groupBy("b").agg(F.min("a").alias("a"), F.first("line_b").alias("line_b")), texts, num, den)
+        other = (F.col("l.seq") != F.col("r.seq")) & can_link(num, den)
+        lead = crowded.groupBy("k").agg(F.min("seq").alias("seq"), F.count("*").alias("c")).where(F.col("c") > CROWD)
+        lead = crowded.join(lead.select("k", "seq"), ["k", "seq"], "left_semi")
+        first = stage(met(crowded, lead, other).groupBy("b").agg(F.min("a").alias("a")), "candidates")
+        gone = verified(first, lines_of(first, sets, texts), num, den)
         pairs = pairs.union(met(crowded, crowded.join(gone.toDF("seq"), "seq", "left_anti"), other))
-    pairs = stage(in_order(pairs.distinct(), sets, num, den), "candidates")
-    best = stage(pairs.groupBy("b").agg(F.min("a").alias("a"), F.first("line_b").alias("line_b"), F.count("*").alias("c")), "first-candidates")
-    like = verified(best, texts, num, den)
+    pairs = stage(pairs.distinct(), "candidates")
+    best = stage(pairs.groupBy("b").agg(F.min("a").alias("a"), F.count("*").alias("c")), "first-candidates")
+    of_pairs = lines_of(pairs, sets, texts)
+    like = verified(best, of_pairs, num, den)
     untold = best.where("c > 1").join(like, "b", "left_anti").select("b", F.col("a").alias("tried"))
-    like = like.union(verified(pairs.join(untold, "b").where(F.col("a") != F.col("tried")), texts, num, den))
+    like = like.union(verified(pairs.join(untold, "b").where(F.col("a") != F.col("tried")), of_pairs, num, den))
     like = (like if gone is None else like.union(gone)).distinct().select(F.col("b").alias("seq"), F.lit(True).alias("like"))
 
     fate = sets.select("seq", "key", F.col("row").alias("first_row"), F.col("no").alias("first_no")).join(like, "seq", "left").drop("seq")
