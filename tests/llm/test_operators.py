@@ -6,7 +6,9 @@ import os
 import random
 import struct
 import sys
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -19,6 +21,7 @@ sys.path[:0] = [HERE, os.path.dirname(os.path.dirname(HERE))]
 
 import corpus_pipeline  # noqa: E402
 import plain  # noqa: E402
+from tickloom import session  # noqa: E402
 from tickloom.llm import components, exact_dedup, line_dedup, ngram_join, pii, quality_rules, queries, sentencepiece_codec, source_mix, substring_dedup, token_counts, toxicity  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -169,6 +172,46 @@ def test_ngram_join_in_blocks(spark, monkeypatch):
     assert got == Counter(plain.components(rows, 3, 4, 5))
 
 
+def test_ngram_join_sends_shingles_of_classes_that_may_link(spark, monkeypatch):
+    """In a large family, classes that only share prefixes, or that their leaders join, do not go to all blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 4)
+    monkeypatch.setattr(ngram_join, "LIGHT_CLASSES", 5)
+    staged, stage = {}, ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    common = " ".join(f"c{i}" for i in range(60))
+    apart = [(i, f"{common} " + " ".join(f"w{i}x{j}" for j in range(12 + i % 3))) for i in range(24)]
+    rows = apart + [(100 + i, edited(BASE[0], i % 5) + f" tail{i}") for i in range(12)]
+    got = found(ngram_join.ngram_join(frame(spark, rows), 3, 9, 10), "doc_id", "n_shingles", "component_id")
+    assert got == Counter(plain.components(rows, 3, 9, 10))
+    assert staged["large-families"].count() > 0
+    assert staged["promising"].select("key").distinct().count() < 24
+
+
+@pytest.mark.parametrize("size", [3, 40, 300])
+def test_prefix_matches(size):
+    """Rare and common shingles are counted alike."""
+    rng = np.random.default_rng(size)
+    sets = [np.unique(np.concatenate((rng.integers(0, 8, 4), rng.integers(10, 400, 30)))) for _ in range(size)]
+    got = ngram_join.prefix_matches(np.concatenate(sets), np.array([len(x) for x in sets]))
+    for i in range(size):
+        for j in range(i):
+            assert got[i, j] == got[j, i] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_stage_leaves_no_shuffle_files(spark):
+    """What a staged frame was shuffled for is deleted when it is written."""
+    kept = spark.conf.get(session.CLEAN_UP)
+    dirs = [x.getPath() for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+    before = files()
+    rows = session.stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(5, "k"))
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert rows.count() == 7 and spark.conf.get(session.CLEAN_UP) == kept
+
+
 def test_ngram_join_compares_classes_not_rows(spark, monkeypatch):
     """Repeated rows, and null ids of one class, bring one text to the blocks."""
     staged, stage = {}, ngram_join.stage

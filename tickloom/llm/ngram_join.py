@@ -16,11 +16,20 @@ are compared.
 3. Classes that meet at a shingle of their prefixes, directly or through others, form a
    family. A family of more than `BLOCK_CLASSES` classes or `BLOCK_SHINGLES` shingles is
    cut into blocks that meet pairwise, so each class is sent once per block of its family.
+   Before that, each class of such a family is compared with one leader, the first class of the
+   shingles of its prefix that most of them name. What that joins needs no further pairs among
+   itself: a shingle whose classes are all joined goes, a class that is left with too few
+   goes too, and the rest forms smaller families. Blocks of `LIGHT_CLASSES` of these meet with prefixes and
+   sketches of `SKETCH_BITS` bits first (each shingle flips one, so that differing bits are shingles of one set
+   only), and only the classes of a pair that may link meet with all their shingles.
 4. In a block, pairs that share as many prefix shingles as the smaller of their `k`, and
    whose sizes allow a link, are verified. It reports the links that join what it has not
    joined yet, so their number follows that of its classes.
 5. Components of the links give each document the smallest id it is linked with.
 
+Texts are read again for the shingles of the classes that met: a table of `WANTED_BITS` bits keeps others
+out of the shuffle.
+
 Postings know shingles by 48 and classes by 64 bits of hash, where a collision costs time only;
 links are verified on 64 bits of each shingle, and equal sets on 128 of the whole. Null and empty texts and texts
 without a word have no shingle and link with nothing; their component is their own id.
@@ -40,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.llm.components import components
-from tickloom.llm.textual import LOWER, flat, fresh_name, gram_hashes, inside, mix, slices, span_hashes, spans
+from tickloom.llm.textual import LOWER, ODD, flat, fresh_name, gram_hashes, inside, mix, slices, span_hashes, spans
 from tickloom.session import stage
 
 CLASS = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("n", "<i4")])
@@ -52,7 +61,13 @@ CHUNK_CLASSES = 60_000
 MOST_MATCHES = 8
 BLOCK_CLASSES = 512
 BLOCK_SHINGLES = 2_000_000
+LIGHT_CLASSES = 2048
+SKETCH_BITS = 1024
+RARE = 12  # a shingle of fewer than one in so many classes is counted by its pairs
+PAIRS_AT_ONCE = 1 << 21
 VERIFY = 0.02
+WANTED_BITS = 27
+WANTED_BLOCK = 1 << 16
 
 
 def shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,6 +102,38 @@ def class_keys(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def wanted_slot(key: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The place of a class and a row of it in the table of those that are wanted."""
+    return (mix(key + row.view(np.uint64) * ODD) >> np.uint64(64 - WANTED_BITS)).astype(np.int64)
+
+
+def first_half(keys: pa.Array) -> np.ndarray:
+    """The first half of class keys, as postings know it."""
+    return np.frombuffer(b"".join(x[:8] for x in keys.to_pylist()), ">u8").astype(np.uint64)
+
+
+def wanted_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        slot = wanted_slot(first_half(batch.column(0)), batch.column(1).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(slot // WANTED_BLOCK), pa.array(slot % WANTED_BLOCK)], ["block", "slot"])
+
+
+def block_bits(group: pa.Table) -> pa.Table:
+    table = np.zeros(WANTED_BLOCK, bool)
+    table[group.column("slot").to_numpy()] = True
+    return pa.table({"block": group.column("block").slice(0, 1), "bits": pa.array([np.packbits(table, bitorder="little").tobytes()], pa.binary())})
+
+
+def wanted_texts(batches: Iterator[pa.RecordBatch], k: int, table) -> Iterator[pa.RecordBatch]:
+    """Class key, row and text of rows (`row`, `text`) whose place in the table is taken."""
+    for batch in slices(batches, 1):
+        keys = class_keys(*shingles(batch.column(1), k))
+        slot = wanted_slot(keys["h1"], batch.column(0).to_numpy())
+        kept = np.flatnonzero((table.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 > 0) & (keys["n"] > 0))
+        at = pa.array(kept)
+        yield pa.RecordBatch.from_arrays([as_binary(keys[kept]), batch.column(0).take(at), batch.column(1).take(at)], ["key", "row", "text"])
+
+
 def as_binary(keys: np.ndarray) -> pa.Array:
     packed = np.ascontiguousarray(keys[["h1", "h2"]]).astype([("h1", ">u8"), ("h2", ">u8")]).tobytes()
     return pa.array([packed[i : i + 16] for i in range(0, len(packed), 16)], pa.binary())
@@ -255,32 +302,69 @@ def with_shingles(batches: Iterator[pa.RecordBatch], k: int, names: list[str]) -
 
 def prefix_matches(flat_: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """How many prefix shingles each two classes share, as a square table."""
-    counts = np.zeros((len(lengths), len(lengths)), np.float32)
-    rows = np.repeat(np.arange(len(lengths)), lengths)
-    vocabulary, codes, often = np.unique(flat_, return_inverse=True, return_counts=True)
-    keep = often[codes] > 1
-    rows, codes = rows[keep], (np.cumsum(often > 1) - 1)[codes[keep]]
-    order = np.argsort(codes, kind="stable")
-    rows, codes = rows[order], codes[order]
-    for start in range(0, int(codes[-1]) + 1 if len(codes) else 0, 4096):
-        a, b = np.searchsorted(codes, (start, start + 4096))
-        table = np.zeros((len(lengths), int(codes[b - 1]) - start + 1), np.float32)
-        table[rows[a:b], codes[a:b] - start] = 1
+    size = len(lengths)
+    counts = np.zeros((size, size), np.float32)
+    rows = np.repeat(np.arange(size), lengths)
+    codes, often = np.unique(flat_, return_inverse=True, return_counts=True)[1:]
+    rows = rows[np.argsort(codes, kind="stable")]
+    starts = np.cumsum(often) - often
+    for c in np.unique(often[(often > 1) & (often * RARE < size)]):
+        first = starts[often == c]
+        for at in range(0, len(first), step := max(1, PAIRS_AT_ONCE // (c * c))):
+            held = rows[first[at : at + step, None] + np.arange(c)]
+            np.add.at(counts.reshape(-1), (held[:, :, None] * size + held[:, None, :]).ravel(), np.float32(1))
+    common = np.flatnonzero((often > 1) & (often * RARE >= size))
+    for at in range(0, len(common), 4096):
+        part = common[at : at + 4096]
+        n = often[part]
+        table = np.zeros((size, len(part)), np.float32)
+        table[rows[np.repeat(starts[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())], np.repeat(np.arange(len(part)), n)] = 1
         counts += table @ table.T
     return counts
 
 
-def verified(group: pa.Table, num: int, den: int) -> pa.Table:
-    """Links within a block of a family, or between two, without those whose ends are joined
-    already. Pairs are verified if sizes allow a link and their prefixes share enough."""
-    n, k = group.column("n").to_numpy().astype(np.int64), group.column("matches").to_numpy()
-    side = group.column("side").to_numpy()
-    prefix, lists = group.column("prefix").combine_chunks(), group.column("shingles").combine_chunks()
+def may_link(group: pa.Table, num: int, den: int) -> np.ndarray:
+    """Whether the prefixes of each two classes share enough and their sizes allow a link, as a square table with one
+    place for each two: in a block those in order, else one of each side."""
+    n, k, side = (group.column(x).to_numpy() for x in ("n", "matches", "side"))
+    prefix = group.column("prefix").combine_chunks()
     enough = prefix_matches(prefix.flatten().to_numpy(), prefix.value_lengths().to_numpy()) >= np.minimum(k[:, None], k[None, :])
     enough &= den * np.minimum(n[:, None], n[None, :]) >= num * np.maximum(n[:, None], n[None, :])
     one_block = group.column("x")[0].as_py() == group.column("y")[0].as_py()
-    enough &= np.arange(len(n))[:, None] < np.arange(len(n))[None, :] if one_block else (side[:, None] == 0) & (side[None, :] == 1)
-    left, right = np.nonzero(enough)
+    return enough & (np.arange(len(n))[:, None] < np.arange(len(n))[None, :] if one_block else (side[:, None] == 0) & (side[None, :] == 1))
+
+
+def with_sketches(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Puts a sketch in the place of the shingles (the last column)."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1024):
+            part = batch.slice(start, 1024)
+            lists = part.column(len(names) - 1)
+            at = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()) * SKETCH_BITS + (lists.flatten().to_numpy() & (SKETCH_BITS - 1))
+            bits = np.packbits((np.bincount(at, minlength=len(lists) * SKETCH_BITS) & 1).astype(bool).reshape(-1, SKETCH_BITS), axis=1)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([x.tobytes() for x in bits], pa.binary())], names)
+
+
+def promising(group: pa.Table, num: int, den: int) -> pa.Table:
+    """The classes of a block, or of two, that may link with one they are not joined with."""
+    left, right = np.nonzero(may_link(group, num, den))
+    joined = group.column("joined").combine_chunks().dictionary_encode().indices.to_numpy()
+    n = group.column("n").to_numpy()
+    sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
+    found = np.zeros(len(n), bool)
+    for at in range(0, len(left), PAIRS_AT_ONCE // 16):
+        i, j = left[at : at + PAIRS_AT_ONCE // 16], right[at : at + PAIRS_AT_ONCE // 16]
+        differ = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1, dtype=np.int64)
+        good = ((num + den) * differ <= (den - num) * (n[i] + n[j])) & (joined[i] != joined[j])
+        found[i[good]] = found[j[good]] = True
+    return group.select(["root", "x", "y", "side", "key"]).filter(pa.array(found))
+
+
+def verified(group: pa.Table, num: int, den: int) -> pa.Table:
+    """Links within a block of a family, or between two, without those whose ends are joined
+    already. Pairs are verified if sizes allow a link and their prefixes share enough."""
+    n, lists = group.column("n").to_numpy().astype(np.int64), group.column("shingles").combine_chunks()
+    left, right = np.nonzero(may_link(group, num, den))
     sets = [np.sort(x) for x in np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])]
     root = list(range(len(n)))
 
@@ -323,21 +407,99 @@ def links(docs: DataFrame, classes: DataFrame, k: int, num: int, den: int) -> Da
     # One row of each class brings the text; the others hash to other places, as id is a key.
     # Rows of one class and id become one before they are dealt.
     wanted = classes.withColumn("class", class_number(F.col("key"))).join(work, "class").select("key", F.xxhash64("least").alias("row"), "root", "matches", "prefix", "n")
-    texts, key, _ = classes_of(docs, ["id", "text"], "text", k)
-    texts = texts.groupBy(F.col(key).alias("key"), F.xxhash64("id").alias("row")).agg(F.min("text").alias("text"))
+    wanted = stage(wanted, "wanted")
+    texts = texts_of(docs, wanted.select("key", "row"), k).groupBy("key", "row").agg(F.min("text").alias("text"))
     work = wanted.join(texts, ["key", "row"]).select("root", "key", "n", "matches", "prefix", F.col("text").alias("shingles"))
     kinds = T.StructType([*work.schema[:-1]]).add("shingles", T.ArrayType(T.LongType()))
     work = stage(work.mapInArrow(lambda b: with_shingles(b, k, kinds.names), kinds), "members")
 
+    families = stage(with_blocks(work).select("root", "blocks").where("blocks > 1").distinct(), "large-families").select("root")
+    if families.isEmpty():
+        return in_blocks(work, num, den)
+    small, large = work.join(families, "root", "left_anti"), work.join(families, "root", "left_semi")
+    led = stage(with_leaders(large, num, den), "led")
+    rest = stage(not_led(large, led), "rest")
+    return led.union(in_blocks(small, num, den)).union(in_light_blocks(rest, num, den))
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """Class key, `row` and text of the rows of `docs` that are wanted, and of some few that are not."""
+    spark = docs.sparkSession
+    found = wanted.mapInArrow(wanted_slots, "block long, slot long").groupBy("block").applyInArrow(block_bits, "block long, bits binary")
+    table = np.zeros(max(1 << WANTED_BITS, WANTED_BLOCK) // 8, np.uint8)
+    for block, bits in stage(found, "wanted-bits").toLocalIterator():
+        table[block * (WANTED_BLOCK // 8) :][: len(bits)] = np.frombuffer(bits, np.uint8)
+    table = spark.sparkContext.broadcast(table)
+    return docs.select(F.xxhash64("id").alias("row"), "text").mapInArrow(lambda b: wanted_texts(b, k, table), "key binary, row long, text string")
+
+
+def with_blocks(work: DataFrame) -> DataFrame:
+    """The classes of families, and how many blocks the family is cut into."""
     sizes = work.groupBy("root").agg(F.count("*").alias("c"), F.sum(F.size("shingles")).alias("held"))
     blocks = F.ceil(F.greatest(F.col("c") / BLOCK_CLASSES, F.col("held") / BLOCK_SHINGLES)).cast("int")
-    rows = work.join(sizes.select("root", blocks.alias("blocks")), "root").withColumn("own", F.pmod(F.hash("key"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select(
-        "root", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "key", "n", "matches", "prefix", "shingles",
-    )
-    return rows.groupBy("root", "x", "y").applyInArrow(lambda g: verified(g, num, den), "a binary, b binary")
+    return work.join(sizes.select("root", "c", blocks.alias("blocks")), "root")
+
+
+def dealt_to_blocks(work: DataFrame, blocks: str) -> DataFrame:
+    """A row of each class for every two blocks of its family that it takes part in."""
+    rows = work.withColumn("own", F.pmod(F.hash("key"), F.col(blocks))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
+    places = [F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).cast("int").alias("side")]
+    return rows.select("root", *places, *[x for x in work.columns if x not in ("root", "c", "blocks", "light")])
+
+
+def in_blocks(work: DataFrame, num: int, den: int) -> DataFrame:
+    """Links within families, whose blocks meet pairwise."""
+    return dealt_to_blocks(with_blocks(work), "blocks").groupBy("root", "x", "y").applyInArrow(lambda g: verified(g, num, den), "a binary, b binary")
+
+
+def in_light_blocks(work: DataFrame, num: int, den: int) -> DataFrame:
+    """Links within families; only the classes that may link bring their shingles to where their blocks meet."""
+    sized = with_blocks(work).withColumn("light", F.ceil(F.col("c") / LIGHT_CLASSES).cast("int"))
+    light = sized.select("root", "key", "n", "matches", "prefix", "joined", "light", F.col("shingles").alias("sketch"))
+    kinds = T.StructType([*light.schema[:-1]]).add("sketch", "binary")
+    rows = dealt_to_blocks(light.mapInArrow(lambda b: with_sketches(b, kinds.names), kinds), "light")
+    kind = f"root {work.schema['root'].dataType.simpleString()}, x int, y int, side int, key binary"
+    found = stage(rows.groupBy("root", "x", "y").applyInArrow(lambda g: promising(g, num, den), kind), "promising")
+    # Those of two blocks that are still many are cut into blocks once more.
+    found = found.withColumn("root", F.xxhash64("root", "x", "y")).select("root", "key").distinct()
+    return in_blocks(found.join(work.drop("root", "joined"), "key").select("root", "key", "n", "matches", "prefix", "shingles"), num, den)
+
+
+def with_leaders(work: DataFrame, num: int, den: int) -> DataFrame:
+    """Links of classes with their leaders. Classes of one leader are dealt to groups, each of which gets the leader."""
+    posted = work.select("key", F.explode("prefix").alias("place"))
+    least = posted.groupBy("place").agg(F.min("key").alias("leader"))
+    named = posted.join(least, "place").where("leader <> key").groupBy("key", "leader").agg(F.count("*").alias("c"))
+    named = named.groupBy("key").agg(F.max(F.struct("c", "leader")).alias("most")).select("key", F.col("most.leader").alias("leader"))
+    named = stage(named.join(work.select("key", F.size("shingles").alias("size")), "key"), "leaders")
+    sizes = named.groupBy("leader").agg(F.ceil(F.greatest(F.count("*") / BLOCK_CLASSES, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("groups"))
+    sizes = stage(sizes, "led-groups")
+    rest = [F.col(x) for x in ("key", "n", "matches", "prefix", "shingles")]
+    y = F.col("y") + 1  # apart from 0, so that these are two sides
+    own = work.join(named.join(sizes, "leader"), "key").withColumn("y", F.pmod(F.hash("key"), F.col("groups")))
+    own = own.select("leader", F.lit(0).alias("x"), y.alias("y"), F.lit(1).alias("side"), *rest)
+    heads = work.join(sizes, work["key"] == sizes["leader"]).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    heads = heads.select("leader", F.lit(0).alias("x"), y.alias("y"), F.lit(0).alias("side"), *rest)
+    return own.union(heads).groupBy("leader", "x", "y").applyInArrow(lambda g: verified(g, num, den), "a binary, b binary")
+
+
+def not_led(work: DataFrame, led: DataFrame) -> DataFrame:
+    """The classes that may still have a link with one they are not joined with, with what is left of their prefixes,
+    and in families anew. Two that are not joined share the places that are left only, and as many of them as the smaller
+    of their `matches`."""
+    joined = components(led)
+    work = work.join(joined, work["key"] == joined["node"], "left").withColumn("joined", F.coalesce(joined["root"], work["key"]))
+    work = work.select(work["key"], "n", "matches", "joined", "prefix", "shingles")
+    posted = work.select("key", "matches", "joined", F.explode("prefix").alias("place"))
+    open_ = posted.groupBy("place").agg(F.min("matches").alias("least_matches"), F.min("joined").alias("a"), F.max("joined").alias("b")).where("a <> b")
+    left = posted.join(open_.select("place", "least_matches"), "place").groupBy("key").agg(F.collect_list("place").alias("prefix"), F.min("least_matches").alias("needed"))
+    left = stage(left.where(F.size("prefix") >= F.col("needed")).select("key", "prefix"), "open-places")
+    posted = left.select("key", F.explode("prefix").alias("place"))
+    least = posted.groupBy("place").agg(F.min("key").alias("least"), F.count("*").alias("c")).where("c > 1")
+    met = components(posted.join(least, "place").select(F.col("key").alias("a"), F.col("least").alias("b")))
+    met = stage(met.union(met.select("root", "root")).distinct(), "open-families")
+    rest = work.drop("prefix").join(left, "key").join(met, work["key"] == met["node"])
+    return rest.select("root", "key", "n", "matches", "prefix", "joined", "shingles")
 
 
 def class_number(key: Column) -> Column:
