@@ -84,6 +84,17 @@ def test_several_shards_and_full_slots(spark, monkeypatch):
     assert query(spark, rows, bits=2, min_count=8, max_words=4) == plain(rows, min_count=8, max_words=4)
 
 
+def test_candidates_of_a_large_corpus_take_one_pass(spark, monkeypatch):
+    """However many shards of candidates there are, a level is counted once; several tries go in a pass."""
+    for name, value in (("SHARD_WORDS", 60), ("EDGE_SHARD", 5), ("HELD", 20), ("GATHERED", 50), ("TRIES_AT_ONCE", 3)):
+        monkeypatch.setattr(collocations, name, value)
+    staged, stage = [], collocations.stage
+    monkeypatch.setattr(collocations, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    rows = some_rows()[:25]
+    assert query(spark, rows, bits=2, min_count=8, max_words=3) == plain(rows, min_count=8, max_words=3)
+    assert staged.count("counts") == 2
+
+
 def test_words_that_share_a_hash(spark, monkeypatch):
     """The first salt gives all words of a length one key, so the next one is taken."""
     usual = collocations.count_words

@@ -8,15 +8,17 @@ Texts are lower-cased (A-Z) and cut into pieces at `[.,;:!?\\x0A-\\x0D]`; words
 2. Level by level, for phrases of k words: where both phrases of k - 1 words are frequent, the
    occurrence falls into one of `2**bits` slots by its hash. A phrase whose slot counts less than
    `min_count` cannot be frequent; the others are the candidates, a superset of the frequent ones.
-3. Candidates, `EDGE_SHARD` to a shard, become double-array tries that are broadcast. All positions of a
-   batch advance their states together, accepting states are counted by bincount, and counts are
-   summed over all tasks. The tries of the frequent ones then give every position its state for the
-   next level, where only stretches of text that are in such states are kept.
+3. In a corpus of `SHARD_WORDS` words or more, one pass deals the occurrences of candidates to shards by a hash of the phrase, those of a task gathered
+   first. A shard's candidates become a double-array trie, which all of its occurrences walk together, and
+   accepting states are counted by bincount. In a smaller one tries of all candidates are broadcast, and its
+   positions walk them. The tries of the frequent ones, `EDGE_SHARD` to a trie, are
+   broadcast, `TRIES_AT_ONCE` in a pass, and give every position its state for the next level, where only
+   stretches of text that are in such states are kept.
 4. Scores, cuts and the rule on longer candidates are joins over the phrases found.
 
-What is broadcast is bounded: `WORD_SHARD` keys of words or `EDGE_SHARD` edges at a time, and
-`2**MOST_BITS` bits of slots. Each further shard takes a further pass over the numbered corpus, so
-`min_count` should grow with the corpus. Large corpora fill the slots, which weakens the filter but
+What is broadcast is bounded: `WORD_SHARD` keys of words or `TRIES_AT_ONCE * EDGE_SHARD` edges at a time, and
+`2**MOST_BITS` bits of slots. Further words and further frequent phrases take further passes over the
+numbered corpus; candidates do not. Large corpora fill the slots, which weakens the filter but
 never drops a phrase: then more candidates are counted.
 
 Words are known by 64-bit hashes while counting; the table of all words (told apart by a second hash
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.llm.double_array import build
+from tickloom.llm.double_array import Trie, build
 from tickloom.llm.textual import LOWER, ODD, flat, mix, slices, span_hashes
 from tickloom.operators.positions import add_positions
 from tickloom.operators.sizing import attach
@@ -48,6 +50,8 @@ from tickloom.session import stage
 
 WORD_SHARD = 4_000_000
 EDGE_SHARD = 1_000_000
+TRIES_AT_ONCE = 4
+SHARD_WORDS = 2_000_000  # words of the corpus for each shard of candidates
 MOST_BITS = 26
 RANGE = 1 << 19
 SLICE = 1 << 20
@@ -280,8 +284,85 @@ def count_edges(batches: Iterator[pa.RecordBatch], k: int, shared, first: int, s
     yield pa.RecordBatch.from_arrays([pa.array(first + met), pa.array(counts[met])], ["place", "n"])
 
 
+def bytes_apart(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones and so on, which pack better."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def bytes_together(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def gathered(edges: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct edges, and the sums of their counts."""
+    edges, counts = np.concatenate(edges), np.concatenate(counts)
+    order = np.argsort(edges, kind="stable")
+    edges, total = edges[order], np.concatenate(([0], np.cumsum(counts[order])))
+    first = np.flatnonzero(np.concatenate(([True], edges[1:] != edges[:-1]))[: len(edges)])
+    return edges[first], np.diff(total[np.append(first, len(edges))])
+
+
+def dealt_edges(batches: Iterator[pa.RecordBatch], k: int, bits: int, full, shards: int) -> Iterator[pa.RecordBatch]:
+    """The phrases of this task whose slots are full, with their numbers, by shard."""
+    none = np.zeros(0, np.int64)
+    edges, counts, size, held = [none], [none], 0, 0
+
+    def dealt():
+        shard = (mix(edges[0].view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+        for some in np.array_split(np.flatnonzero(np.diff(cuts)), -(-len(edges[0]) // GATHERED)) if len(edges[0]) else ():
+            spans = [order[cuts[x] : cuts[x + 1]] for x in some]
+            packed = [pa.array([bytes_apart(x[at]) for at in spans], pa.binary()) for x in (edges[0], counts[0])]
+            yield pa.RecordBatch.from_arrays([pa.array(some), *packed], ["shard", "edges", "counts"])
+
+    for ids, states in stretches(batches):
+        found, n = np.unique(edges_of(ids, states, k)[1], return_counts=True)
+        slots = slot_of(found, bits)
+        there = full.value[slots >> 3] >> (slots & 7).astype(np.uint8) & 1 > 0
+        edges.append(found[there])
+        counts.append(n[there])
+        size += len(edges[-1])
+        if size > held + HELD:
+            edges, counts = ([x] for x in gathered(edges, counts))
+            size = held = len(edges[0])
+            if held > HELD:
+                yield from dealt()
+                edges, counts, size, held = [none], [none], 0, 0
+    edges, counts = ([x] for x in gathered(edges, counts))
+    yield from dealt()
+
+
+def count_dealt(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
+    """Builds the trie of the candidates of each shard, which come together, walks it from all of their occurrences
+    and counts where they arrive."""
+    now, edges, counts = None, [], []
+
+    def frequent():
+        found = np.concatenate(edges)
+        candidates = np.unique(found)
+        trie = build(candidates)
+        places = trie.find(found >> 32, found & 0xFFFFFFFF)
+        n = np.bincount(places, np.concatenate(counts), len(candidates)).astype(np.int64)  # exact up to 2**53
+        often = np.flatnonzero(n >= min_count)
+        return pa.RecordBatch.from_arrays([pa.array(candidates[often]), pa.array(n[often])], ["edge", "n"])
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            shard = batch.column(0)[i].as_py()
+            if shard != now:
+                if now is not None:
+                    yield frequent()
+                now, edges, counts = shard, [], []
+            edges.append(bytes_together(batch.column(1)[i].as_py(), np.int64))
+            counts.append(bytes_together(batch.column(2)[i].as_py(), np.int64))
+    if now is not None:
+        yield frequent()
+
+
 def advance(batches: Iterator[pa.RecordBatch], k: int, shared, first: int, last: bool) -> Iterator[pa.RecordBatch]:
-    """The state of every position that the trie of a shard of frequent phrases accepts. After the `last` shard
+    """The state of every position that the tries of some frequent phrases accept. After the `last` shard
     the old states go, and so do the words that no phrase in a state holds; a word without a state is left
     after each stretch."""
     for ids, states, after in texts_in(batches):
@@ -380,15 +461,9 @@ def word_numbers(rows: DataFrame, words: DataFrame, n_words: int, salt: int) ->
     return out
 
 
-def next_level(corpus: DataFrame, k: int, bits: int, min_count: int) -> tuple[DataFrame, int]:
-    """Frequent phrases of `k` words (`gram`, `edge`, `n`) of a corpus with the states of `k` - 1 words, and how many they are."""
+def counted_by_tries(corpus: DataFrame, k: int, bits: int, full, min_count: int) -> DataFrame:
+    """Frequent phrases (`edge`, `n`): every trie of candidates is broadcast and takes a pass."""
     share = Shared(corpus.sparkSession)
-    most = min(min_count, 255)
-    corpus = corpus.select("ids", "states")
-    blocks = corpus.mapInArrow(lambda batches: count_slots(batches, k, bits, most), "block int, sparse boolean, counts binary")
-    width = min(BLOCK, 1 << bits)
-    merged = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(lambda batches: merge_slots(batches, width, most), "block int, bits binary")
-    full = share(bit_table(stage(merged, "slots"), 1 << bits))
     edges = corpus.mapInArrow(lambda batches: distinct_edges(batches, k, bits, full), "edge long").distinct()
     candidates = stage(add_positions(edges, ["edge"], "place", start=0), "candidates")
     counts = [candidates.select("place", F.lit(0).cast("long").alias("n")).limit(0)]
@@ -398,18 +473,56 @@ def next_level(corpus: DataFrame, k: int, bits: int, min_count: int) -> tuple[Da
         counts.append(stage(corpus.mapInArrow(step, "place long, n long"), "counts"))
         share.release()
     summed = reduce(DataFrame.unionByName, counts).groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-    grams = stage(add_positions(summed.join(candidates, "place").drop("place"), ["edge"], "gram", start=0), "grams")
+    return summed.join(candidates, "place").drop("place")
+
+
+def counted_by_shards(corpus: DataFrame, k: int, bits: int, full, min_count: int, shards: int) -> DataFrame:
+    """The same, where occurrences go to the shard of their candidate in one pass."""
+    dealt = corpus.mapInArrow(lambda batches: dealt_edges(batches, k, bits, full, shards), "shard long, edges binary, counts binary")
+    dealt = dealt.repartition("shard").sortWithinPartitions("shard")
+    return stage(dealt.mapInArrow(lambda batches: count_dealt(batches, min_count), "edge long, n long"), "counts")
+
+
+def next_level(corpus: DataFrame, k: int, bits: int, min_count: int, shards: int) -> tuple[DataFrame, int]:
+    """Frequent phrases of `k` words (`gram`, `edge`, `n`) of a corpus with the states of `k` - 1 words, and how many they are."""
+    share = Shared(corpus.sparkSession)
+    most = min(min_count, 255)
+    corpus = corpus.select("ids", "states")
+    blocks = corpus.mapInArrow(lambda batches: count_slots(batches, k, bits, most), "block int, sparse boolean, counts binary")
+    width = min(BLOCK, 1 << bits)
+    merged = blocks.repartition("block").sortWithinPartitions("block").mapInArrow(lambda batches: merge_slots(batches, width, most), "block int, bits binary")
+    full = share(bit_table(stage(merged, "slots"), 1 << bits))
+    counted = counted_by_shards(corpus, k, bits, full, min_count, shards) if shards > 1 else counted_by_tries(corpus, k, bits, full, min_count)
+    grams = stage(add_positions(counted, ["edge"], "gram", start=0), "grams")
+    share.release()
     return grams, grams.count()
 
 
+class Tries:
+    """Tries of consecutive shards as one; each is given with the number of its first edge."""
+
+    def __init__(self, tries: list[tuple[int, Trie]]):
+        self.tries = tries
+
+    def find(self, parents: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        out = np.full(len(parents), -1, np.int64)
+        for first, trie in self.tries:
+            found = trie.find(parents, labels)
+            out[found >= 0] = first - self.tries[0][0] + found[found >= 0]
+        return out
+
+
 def in_states(corpus: DataFrame, k: int, grams: DataFrame, n: int) -> DataFrame:
-    """The corpus with the states of phrases of `k` words, a pass per shard of their tries."""
-    share = Shared(corpus.sparkSession)
+    """The corpus with the states of phrases of `k` words, a pass for every `TRIES_AT_ONCE` shards of their tries."""
+    share, tries = Shared(corpus.sparkSession), []
     for first, part in sorted_shards(grams, "edge", "gram", n, EDGE_SHARD):
-        trie, last = share(build(part)), first + EDGE_SHARD >= n
-        step = lambda batches, trie=trie, first=first, last=last: advance(batches, k, trie, first, last)
-        corpus = stage(corpus.mapInArrow(step, "ids binary, states binary, next binary"), "states")
-        share.release()
+        tries, last = [*tries, (first, build(part))], first + EDGE_SHARD >= n
+        if last or len(tries) == TRIES_AT_ONCE:
+            trie, first = share(Tries(tries)), tries[0][0]
+            step = lambda batches, trie=trie, first=first, last=last: advance(batches, k, trie, first, last)
+            corpus = stage(corpus.mapInArrow(step, "ids binary, states binary, next binary"), "states")
+            share.release()
+            tries = []
     return corpus
 
 
@@ -420,11 +533,12 @@ def phrases(rows: DataFrame, min_count: int, max_words: int, bits: int | None =
     n_words = found.count()
     total = sizes.agg(F.sum("n")).first()[0] or 0
     bits = bits or min(MOST_BITS, max(16, total.bit_length() - 3))
+    shards = -(-total // SHARD_WORDS) or 1
     corpus = word_numbers(rows, found, n_words, salt)
     level = found.select(F.col("id").alias("gram"), F.array("id").alias("words"), "lang", F.col("word").alias("text"), F.col("n").alias("a"))
     levels = [level]
     for k in range(2, max_words + 1):
-        grams, n = next_level(corpus, k, bits, min_count)
+        grams, n = next_level(corpus, k, bits, min_count, shards)
         before = level.select(F.col("gram").alias("before"), F.col("words").alias("start"), "lang", F.col("text").alias("head"))
         last = found.select(F.col("id").alias("last"), "word")
         spelled_out = grams.select("gram", F.col("n").alias("a"), F.shiftright("edge", 32).alias("before"), F.col("edge").bitwiseAND(F.lit(0xFFFFFFFF)).alias("last"))
