@@ -15,7 +15,9 @@ earlier line (smaller id, or same id and smaller number) has an equal set, or on
 4. A word in more than `CROWD` prefixes splits its sets by the word they share next, which the
    prefix one longer holds. Where more than `CROWD` still meet, all are compared with the first
    of them, which settles groups of near copies at a cost of a row each. Only sets not yet
-   removed are then compared, as later ones, with all.
+   removed are then compared, as later ones, with all. Where more than `AT_ONCE` rows, or `EACH` for each
+   set, go to their words, the words are dealt to rounds by a hash, and the pairs of a round are kept
+   before the next one, so the disk holds the rows of a round.
 5. Each set is verified with the first of its candidates, and if that is not like it with the
    others. Lines are found in the texts by a hash, in one pass for all of these pairs, and taken
    apart again only for this; a table of bits, of fixed size, keeps other lines out of the shuffle.
@@ -27,6 +29,8 @@ known by 64 bits of hash. An empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +40,8 @@ SLOTS = 1 << 18
 BLOCK_BITS = 10
 LINE_SLOTS = 1 << 16
 CROWD = 256
+AT_ONCE = 1 << 23
+EACH = 4
 PLACE = ("no_id", "id", "row", "no")
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -128,29 +134,51 @@ def can_link(num: int, den: int) -> Column:
 
 
 def crowded_words(posted: DataFrame) -> DataFrame:
-    """The words of more than `CROWD` prefixes; a word is counted if those of its slot are as many."""
+    """The words of more than `CROWD` prefixes (`word`, `c`); a word is counted if those of its slot are as many."""
     at = lambda w: slot(w, SLOTS)
     found = posted.groupBy(at(F.col("word")).alias("s")).agg(F.count("*").alias("c"))
     table = byte_table(found.where(F.col("c") > CROWD).select("s", F.lit(1).alias("c")), SLOTS)
     posted = posted.where(F.substring(F.lit(table), at(F.col("word")) + 1, F.lit(1)) == F.lit(b"\x01"))
-    return posted.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("word")
-
-
-def meetings(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame | None]:
-    """The sets at each word `k` of their prefixes; those at words with a crowd apart (if there
-    are any), each at two words."""
-    n = F.col("n")
-    posted = sets.select("seq", "n", "low", "high", "prefix", F.posexplode(F.slice("prefix", F.lit(1), spare(n, num, den) + 1)).alias("pos", "word"))
-    rest = (F.shiftleft(n.cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "seq", "low", "high")
-    plain = posted.select(F.col("word").alias("k"), *rest)
-    crowds = stage(crowded_words(posted.select("word")), "crowds")
-    if crowds.isEmpty():
-        return plain, None
-    # Sets that may link by one shared word stay at that word, too.
-    few = needed(n, F.ceil(n * num / den), num, den) <= 1
-    after = F.slice("prefix", F.col("pos") + 2, F.size("prefix"))
-    split = posted.join(crowds, "word", "left_semi").withColumn("next", F.explode(F.when(few, F.array_append(after, F.lit(-1))).otherwise(after)))
-    return plain.join(crowds.toDF("k"), "k", "left_anti"), stage(split.select(F.xxhash64("word", "next").alias("k"), *rest), "crowded")
+    return posted.groupBy("word").agg(F.count("*").alias("c")).where(F.col("c") > CROWD)
+
+
+class Meetings:
+    """The sets at each word `k` of their prefixes, and apart those at words with a crowd (if there are any), each at two
+    words; in rounds by a hash of `k`."""
+
+    def __init__(self, sets: DataFrame, num: int, den: int):
+        n, self.num, self.den = F.col("n"), num, den
+        self.posted = sets.select("seq", "n", "low", "high", "prefix", F.posexplode(F.slice("prefix", F.lit(1), spare(n, num, den) + 1)).alias("pos", "word"))
+        self.rest = (F.shiftleft(n.cast("long"), 32).bitwiseOR(F.col("pos").cast("long")).alias("at"), "seq", "low", "high")
+        crowds = stage(crowded_words(self.posted.select("word")), "crowds")
+        held, words = crowds.agg(F.sum("c"), F.count("*")).first()
+        self.crowds = crowds.select("word") if words else None
+        count, rows, longest = sets.agg(F.count("*"), F.sum(spare(n, num, den) + 1), F.avg(F.size("prefix"))).first()
+        self.at_once = max(AT_ONCE, EACH * count)
+        self.split_rows = int((held or 0) * (longest or 0))  # at most about so many
+        self.rows = (rows or 0) + self.split_rows
+
+    def rounds(self, rows: int) -> range:
+        return range(max(1, -(-rows // self.at_once)))
+
+    def of_round(self, rows: DataFrame, i: int, rounds: range) -> DataFrame:
+        return rows if len(rounds) == 1 else rows.where(F.pmod(F.xxhash64("k"), F.lit(len(rounds))) == i)
+
+    def plain(self, i: int, rounds: range) -> DataFrame:
+        plain = self.of_round(self.posted.select(F.col("word").alias("k"), *self.rest), i, rounds)
+        return plain if self.crowds is None else plain.join(self.crowds.toDF("k"), "k", "left_anti")
+
+    def crowded(self, i: int, rounds: range) -> DataFrame:
+        # Sets that may link by one shared word stay at that word, too.
+        n = F.col("n")
+        few = needed(n, F.ceil(n * self.num / self.den), self.num, self.den) <= 1
+        after = F.slice("prefix", F.col("pos") + 2, F.size("prefix"))
+        split = self.posted.join(self.crowds, "word", "left_semi").withColumn("next", F.explode(F.when(few, F.array_append(after, F.lit(-1))).otherwise(after)))
+        return self.of_round(split.select(F.xxhash64("word", "next").alias("k"), *self.rest), i, rounds)
+
+
+def union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, parts)
 
 
 def met(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
@@ -189,16 +217,26 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
     # Numbers follow the order of the lines, so they say which of two sets is the earlier one.
     sets = stage(sets.orderBy(*PLACE).withColumn("seq", F.monotonically_increasing_id()), "line-sets")
 
-    plain, crowded = meetings(sets, num, den)
-    pairs, gone = met(plain, plain, (F.col("l.seq") < F.col("r.seq")) & can_link(num, den)), None
-    if crowded is not None:
+    meetings, gone, candidates = Meetings(sets, num, den), None, []
+    if meetings.crowds is not None:
         other = (F.col("l.seq") != F.col("r.seq")) & can_link(num, den)
-        lead = crowded.groupBy("k").agg(F.min("seq").alias("seq"), F.count("*").alias("c")).where(F.col("c") > CROWD)
-        lead = crowded.join(lead.select("k", "seq"), ["k", "seq"], "left_semi")
-        first = stage(met(crowded, lead, other).groupBy("b").agg(F.min("a").alias("a")), "candidates")
+        rounds, leads = meetings.rounds(meetings.split_rows), []
+        for i in rounds:
+            crowded = meetings.crowded(i, rounds)
+            lead = crowded.groupBy("k").agg(F.min("seq").alias("seq"), F.count("*").alias("c")).where(F.col("c") > CROWD)
+            lead = crowded.join(lead.select("k", "seq"), ["k", "seq"], "left_semi")
+            leads.append(stage(met(crowded, lead, other).groupBy("b").agg(F.min("a").alias("a")), "led"))
+        first = stage(union(leads).groupBy("b").agg(F.min("a").alias("a")), "candidates")
         gone = verified(first, lines_of(first, sets, texts), num, den)
-        pairs = pairs.union(met(crowded, crowded.join(gone.toDF("seq"), "seq", "left_anti"), other))
-    pairs = stage(pairs.distinct(), "candidates")
+    rounds = meetings.rounds(meetings.rows)
+    for i in rounds:
+        plain = meetings.plain(i, rounds)
+        pairs = met(plain, plain, (F.col("l.seq") < F.col("r.seq")) & can_link(num, den))
+        if gone is not None:
+            crowded = meetings.crowded(i, rounds)
+            pairs = pairs.union(met(crowded, crowded.join(gone.toDF("seq"), "seq", "left_anti"), other))
+        candidates.append(stage(pairs.distinct(), "met" if len(rounds) > 1 else "candidates"))
+    pairs = stage(union(candidates).distinct(), "candidates") if len(candidates) > 1 else candidates[0]
     best = stage(pairs.groupBy("b").agg(F.min("a").alias("a"), F.count("*").alias("c")), "first-candidates")
     of_pairs = lines_of(pairs, sets, texts)
     like = verified(best, of_pairs, num, den)
